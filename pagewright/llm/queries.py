@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality_rules, sharding
+from . import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, sharding
 from .common import stripped, text_of
 
 
@@ -39,6 +39,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", m("words.n_words").alias("n_words"), m("word_chars").alias("word_chars"), m("n_symbols").alias("n_symbols"), m("n_dup_lines").alias("n_dup_lines"), m("words.n_repeat_words").alias("n_repeat_words"), base.alias("base_failed"), (~base & quality_rules.passes("v2")).alias("kept"), F.col("failed").alias("failed_bits"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("row_number")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = text_of(docs)
@@ -49,7 +57,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_exact_dedup, op5_packing, op6_mixing, op7_quality_rules, op10_sharding)
+    for f in (op4_exact_dedup, op5_packing, op6_mixing, op7_quality_rules, op8_quality_classifier, op9_near_dedup, op10_sharding)
 }
 
 WHITE = "[\\x20\\x09-\\x0D]"
