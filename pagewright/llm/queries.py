@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, sharding
+from . import exact_dedup, language_model, mixing, near_dedup, packing, quality_classifier, quality_rules, sharding
 from .common import stripped, text_of
 
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("digest", "text_sha256")
@@ -57,7 +61,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_exact_dedup, op5_packing, op6_mixing, op7_quality_rules, op8_quality_classifier, op9_near_dedup, op10_sharding)
+    for f in (op1_language_model, op4_exact_dedup, op5_packing, op6_mixing, op7_quality_rules, op8_quality_classifier, op9_near_dedup, op10_sharding)
 }
 
 WHITE = "[\\x20\\x09-\\x0D]"
