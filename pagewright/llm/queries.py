@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_model, mixing, near_dedup, packing, quality_classifier, quality_rules, sharding
+from . import exact_dedup, language_model, mixing, near_dedup, packing, personal_data, preferences, quality_classifier, quality_rules, sharding
 from .common import stripped, text_of
 
 
@@ -19,6 +19,19 @@ def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"))
 
 
+def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = preferences.preference_pairs(preferences.swapped_answers(table(spark, sf_dir, "conversations")))
+    spans = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return found.select(F.col("pair").alias("conv_id"), "prefix_turns", "prompt", "chosen", spans("chosen_mask").alias("chosen_mask"), "rejected", spans("rejected_mask").alias("rejected_mask"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    base = F.sha2(F.encode(personal_data.digest(F.col("base")), "UTF-8"), 256).alias("base_sha256")
+    return found.select("doc_id", *[count(k) for k in personal_data.KINDS], base, personal_data.digest(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("digest", "text_sha256")
@@ -61,12 +74,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_model, op4_exact_dedup, op5_packing, op6_mixing, op7_quality_rules, op8_quality_classifier, op9_near_dedup, op10_sharding)
+    for f in (op1_language_model, op2_preferences, op3_personal_data, op4_exact_dedup, op5_packing, op6_mixing, op7_quality_rules, op8_quality_classifier, op9_near_dedup, op10_sharding)
 }
 
 WHITE = "[\\x20\\x09-\\x0D]"
 
 ORACLES: dict[str, str] = {
+    "op2_preferences": """
+        WITH l AS (SELECT conv_id, max(turn) AS e FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+             a AS (SELECT c.conv_id, c.turn AS e, c.text FROM conversations c JOIN l ON c.conv_id = l.conv_id AND c.turn = l.e AND c.role = 'assistant'),
+             p AS (SELECT a.conv_id, a.e, a.text AS good, b.text AS bad FROM a JOIN a b ON b.conv_id = xor(a.conv_id, 1)),
+             t AS (SELECT p.conv_id, p.e, p.good, p.bad, c.turn, c.role, '<|' || c.role || '|>' || chr(10) || c.text || chr(10) || '<|end|>' || chr(10) AS shown FROM conversations c JOIN p ON c.conv_id = p.conv_id AND c.turn <= p.e),
+             g AS (SELECT conv_id, any_value(good) AS good, any_value(bad) AS bad, count(*) AS n, string_agg(shown, '' ORDER BY turn) FILTER (turn < e) AS head FROM t GROUP BY conv_id),
+             s AS (SELECT conv_id, good = bad AS same, n, coalesce(head, '') AS head, '<|assistant|>' || chr(10) || good || chr(10) || '<|end|>' || chr(10) AS g, '<|assistant|>' || chr(10) || bad || chr(10) || '<|end|>' || chr(10) AS b FROM g)
+        SELECT conv_id, CASE WHEN same THEN n ELSE n - 1 END AS prefix_turns, CASE WHEN same THEN head || g ELSE head END AS prompt,
+               CASE WHEN same THEN '' ELSE g END AS chosen, CASE WHEN same THEN '' ELSE '14:' || length(g) END AS chosen_mask,
+               CASE WHEN same THEN '' ELSE b END AS rejected, CASE WHEN same THEN '' ELSE '14:' || length(b) END AS rejected_mask
+        FROM s
+    """,
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '{WHITE}+', '', 'g')) AS h FROM documents),
              g AS (SELECT doc_id, h, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size FROM d)
