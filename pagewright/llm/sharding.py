@@ -30,15 +30,26 @@ def _fraction(*parts) -> F.Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 20)) / float(1 << 20)
 
 
-def propagate(linked: DataFrame, total: int, shards: int, rounds: int = 12) -> DataFrame:
+def quotas(flows: dict[tuple[int, int], int], room: dict[int, int], shards: int) -> list[float]:
+    """The share of those who want to enter each shard that may: what its room and its own leavers allow."""
+    share = [1.0] * shards
+    for _ in range(30):
+        left, come = [0.0] * shards, [0.0] * shards
+        for (s, t), n in flows.items():
+            left[s] += n * share[t]
+            come[t] += n
+        share = [min(1.0, max(0.0, room[t] + left[t]) / come[t]) if come[t] else 1.0 for t in range(shards)]
+    return share
+
+
+def propagate(linked: DataFrame, total: int, shards: int, rounds: int = 12, slack: float = 0.03) -> DataFrame:
     """Give each (row, link) row a shard; return (row, link, shard).
 
     A row belongs to one link here; rows of a link see each other's shards.
-    Room is what a shard's share of all ``total`` rows leaves beside the
-    linked rows that it holds.
+    Room is what a shard's share of all ``total`` rows, and a little ``slack``
+    that the evening out takes back, leaves beside the linked rows it holds.
     """
-    spark = linked.sparkSession
-    room_each = total // shards
+    room_each = int(total / shards * (1 + slack))
     state = materialize(linked.withColumn("shard", F.pmod(F.xxhash64("row", F.lit("first")), F.lit(shards)).cast("int")), "shards")
     for number in range(rounds):
         held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
@@ -53,10 +64,11 @@ def propagate(linked: DataFrame, total: int, shards: int, rounds: int = 12) -> D
         # A row leaves only a shard that holds fewer of its neighbours than the one it moves to.
         gains = F.col("to").isNotNull() & (F.col("shard") != F.col("to")) & (F.struct("n", F.xxhash64("link", "shard")) < F.struct("to_n", F.xxhash64("link", "to"))) & (F.col("shard") != F.col("top"))
         moves = materialize(per.where(gains).select("link", "shard", "to", "n"), "moves")
-        wanted = {r["to"]: r["n"] for r in moves.groupBy("to").agg(F.sum("n").alias("n")).collect()}
-        if not wanted:
+        flows = {(r["shard"], r["to"]): r["n"] for r in moves.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}
+        if not flows:
             break
-        fits = F.element_at(F.array(*[F.lit(min(1.0, 0.98 * max(0, room[s]) / wanted.get(s, 1))) for s in range(shards)]), F.col("to") + 1)
+        accepted = quotas(flows, room, shards)
+        fits = F.element_at(F.array(*[F.lit(a) for a in accepted]), F.col("to") + 1)
         # Whole parts of links move together where they fit, so the hash is of the link unless the part alone is larger than the room.
         limit = F.element_at(F.array(*[F.lit(float(max(1, room[s])) / 20) for s in range(shards)]), F.col("to") + 1)
         moves = moves.select(F.col("link").alias("m_link"), F.col("shard").alias("m_shard"), "to", fits.alias("fits"), (F.col("n") > limit).alias("large"))
