@@ -20,9 +20,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, shared_path, stripped
+from .common import drop_path, materialize, shared_path, stripped
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BROADCAST_ROWS = 500_000
 
 
 def sha256(normalised: Column) -> Column:
@@ -41,7 +42,8 @@ def digest_state(spark, store: str, schema, max_files: int | None = None) -> Dat
     that it changed, and a key's last entry is its state.
     """
     log, checkpoint = shared_path(spark, "dedup-state"), shared_path(spark, "dedup-stream")
-    names = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    rocks = "spark.sql.streaming.stateStore.rocksdb"
+    names = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, f"{rocks}.changelogCheckpointing.enabled": "true", f"{rocks}.allowFAllocate": "false"}
     before = {k: spark.conf.get(k, None) for k in names}
     for k, v in names.items():
         spark.conf.set(k, v)
@@ -73,12 +75,14 @@ def state_schema(spark) -> DataFrame:
     return spark.createDataFrame([], "digest string, n_rows long, best struct<col1: int, no_id: boolean, id: long, locator: long>")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, max_files: int | None = None, carry: list[str] | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, max_files: int | None = None, carry: list[str] | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, digest, and the columns in ``carry``.
 
     Texts are equal when they agree after all white space is deleted. ``digest``
     may be any function of the normalised text; a weak one costs time, not
-    correctness, since bytes decide. ``max_files`` bounds a micro-batch.
+    correctness, since bytes decide. ``max_files`` bounds a micro-batch. Up to
+    ``broadcast_rows`` shared digests are broadcast, so that only the texts of
+    hits are shuffled; beyond that all texts are.
     """
     spark, carry = docs.sparkSession, carry or []
     store = shared_path(spark, "dedup-content")
@@ -89,13 +93,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = content.select("id", "n_points", "digest", "locator").schema
     state = digest_state(spark, store, slim, max_files)
 
-    shared = state.where("n_rows > 1").select("digest", F.col("best.locator").alias("keeper"))
-    hits = content.select("id", "n_points", "digest", "locator", stripped(F.col("text")).alias("bytes")).join(shared, "digest")
+    shared = materialize(state.where("n_rows > 1").select("digest", F.col("best.locator").alias("keeper")), "dedup-shared")
+    few = shared.count() <= broadcast_rows
+    hits = content.select("id", "n_points", "digest", "locator", stripped(F.col("text")).alias("bytes")).join(F.broadcast(shared) if few else shared, "digest")
+    hits = materialize(hits, "dedup-hits")
     keepers = hits.where("locator = keeper").select("digest", F.col("bytes").alias("kept_bytes"))
     compared = hits.join(keepers, "digest").select("id", "n_points", "digest", "locator", F.when(F.col("bytes") != F.col("kept_bytes"), F.col("bytes")).alias("other"))
-    compared_path = shared_path(spark, "dedup-compared")
-    compared.write.parquet(compared_path)
-    compared = spark.read.schema(compared.schema).parquet(compared_path)
+    compared = materialize(compared, "dedup-compared")
     groups = compared.groupBy("digest", "other").agg(F.count("*").alias("size"), _best().alias("best"))
     groups = groups.select(F.col("digest").alias("g_digest"), F.col("other").alias("g_other"), "size", F.col("best.id").alias("best_id"), F.col("best.locator").alias("best_locator"))
     settled = compared.join(groups, (F.col("digest") == F.col("g_digest")) & F.col("other").eqNullSafe(F.col("g_other"))).select(F.col("locator").alias("s_locator"), "size", "best_id", "best_locator")
