@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,14 +48,12 @@ def _stop_sql() -> str:
 
 def _detect_sql(source: str, keys: str, min_alpha: int, min_words: int) -> str:
     """The detector as DuckDB SQL over rows of (keys, text)."""
-    case = lambda part: language.case(part).replace("D", "").replace("CASE", "CASE")
-    plain = lambda sql: __import__("re").sub(r"(\d\.\d+)D", r"\1::DOUBLE", sql)
+    plain = lambda sql: re.sub(r"(\d\.\d+)D", r"\1::DOUBLE", sql)
     hits = ", ".join(f"count(*) FILTER (code = '{c}') AS hits_{c}" for c in language.STOP_WORDS)
     zero = ", ".join(f"coalesce(hits_{c}, 0) AS hits_{c}" for c in language.STOP_WORDS)
     best = "greatest(" + ", ".join(f"hits_{c}" for c in language.EUROPEAN) + ")"
     code = "CASE " + " ".join(f"WHEN hits_{c} = {best} THEN '{c}'" for c in language.EUROPEAN) + " END"
     n = lambda p: f"len(regexp_extract_all(text, '{p}'))"
-    del case
     join = " AND ".join(f"m.{k} = h.{k}" for k in keys.split(", "))
     own = ", ".join(f"m.{k}" for k in keys.split(", "))
     scores = ", ".join(f"{plain(s)} AS {k}" for k, s in language.SCORES.items())
@@ -281,7 +280,7 @@ def interval_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.merged_intervals(events, "user_id", "s", "t")
 
 
-@query("""SELECT o_orderkey, list_distinct(list_concat([(1 + o_orderkey % 7)::INT], range((10 + o_orderkey % 5)::INT, (10 + o_orderkey % 5 + o_orderkey % 9 + 1)::INT)))::VARCHAR AS numbers FROM orders""")
+@query("""SELECT o_orderkey, list_sort(list_distinct(list_concat([(1 + o_orderkey % 7)::INT], range((10 + o_orderkey % 5)::INT, (10 + o_orderkey % 5 + o_orderkey % 9 + 1)::INT))))::VARCHAR AS numbers FROM orders""")
 def range_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     value = F.concat((1 + k % 7).cast("string"), F.lit(", "), (10 + k % 5).cast("string"), F.lit("-"), (10 + k % 5 + k % 9).cast("string"))
@@ -289,16 +288,16 @@ def range_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("["), F.array_join(numbers.cast("array<string>"), ", "), F.lit("]")).alias("numbers"))
 
 
-@query("""SELECT e.event_id, e.user_id, max(s.event_id) AS nearest_start FROM events e LEFT JOIN events s ON e.user_id = s.user_id AND s.event_type = 'view' AND s.event_id <= e.event_id GROUP BY e.event_id, e.user_id""")
+@query("""SELECT e.event_id, e.user_id, coalesce(max(s.event_id), -1) AS nearest_start FROM events e LEFT JOIN events s ON e.user_id = s.user_id AND s.event_type = 'view' AND s.event_id <= e.event_id GROUP BY e.event_id, e.user_id""")
 def nearest_start_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     starts = events.where("event_type = 'view'").select("user_id", F.col("event_id").alias("start_id"))
-    return sequences.nearest_before(events.select("event_id", "user_id"), starts, "user_id", "event_id", "start_id").select("event_id", "user_id", "nearest_start")
+    return sequences.nearest_before(events.select("event_id", "user_id"), starts, "user_id", "event_id", "start_id").select("event_id", "user_id", F.coalesce("nearest_start", F.lit(-1)).alias("nearest_start"))
 
 
 # --- matching, names, trees ---------------------------------------------------------------------------------
 
-_TOKENS = "list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z0-9à-öø-ÿ]{3,}'), t -> NOT regexp_full_match(t, '[0-9]+')))"
+_TOKENS = "list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z0-9à-öø-ÿ]{3,}'), lambda t: NOT regexp_full_match(t, '[0-9]+')))"
 
 
 @query(f"""WITH w AS (SELECT item_id, unnest({_TOKENS}) AS t FROM benchmark), h AS (SELECT doc_id, unnest({_TOKENS}) AS t FROM documents), c AS (SELECT item_id, doc_id, count(*) AS shared FROM w JOIN h USING (t) GROUP BY ALL),
@@ -365,9 +364,10 @@ _CLEAN = r"regexp_replace(regexp_replace(regexp_replace(html, '<!--[\s\S]*?-->',
 _BALANCE_SQL = " UNION ALL ".join(f"SELECT page_id, '{t}' AS tag, len(regexp_extract_all(h, '(?i)<{t}\\b')) AS opened, len(regexp_extract_all(h, '(?i)</{t}\\s*>')) AS closed FROM c" for t in pages.BALANCED)
 
 
-@query(f"WITH c AS (SELECT page_id, {_CLEAN} AS h FROM pages) SELECT * FROM ({_BALANCE_SQL}) WHERE opened != closed")
+@query(f"WITH p AS (SELECT page_id, html || CASE WHEN page_id % 4 = 0 THEN '<div>' ELSE '' END AS html FROM pages), c AS (SELECT page_id, {_CLEAN} AS h FROM p) SELECT * FROM ({_BALANCE_SQL}) WHERE opened != closed")
 def page_tag_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.tag_balance(table(spark, sf_dir, "pages"), ["page_id"], F.col("html"))
+    html = F.concat("html", F.when(F.col("page_id") % 4 == 0, "<div>").otherwise(""))
+    return pages.tag_balance(table(spark, sf_dir, "pages"), ["page_id"], html)
 
 
 @query(f"""WITH b AS (SELECT page_id, unnest(regexp_extract_all({_CLEAN}, '{pages.BLOCK}')) AS raw FROM pages)

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def stage_files(spark: SparkSession, roots: list[str], pattern: str = "0[12].*.html") -> DataFrame:
-    """path, article, folder, stage, html, sha256 of every stage file below the roots."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(roots)
+def stage_files(spark: SparkSession, roots: list[str], layout: str = "*/_*stages/0[12].*.html") -> DataFrame:
+    """path, article, folder, stage, html, sha256 of every stage file below the roots.
+
+    Folders of stages begin with an underscore, which a recursive scan takes
+    for hidden, so the layout names the files themselves.
+    """
+    files = spark.read.format("binaryFile").load([f"{r}/{layout}" for r in roots])
     folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
     article = F.regexp_extract(folder, r"([^/]+)/[^/]+$", 1)
     return files.select("path", article.alias("article"), folder.alias("folder"), F.regexp_extract("path", r"([^/]+)\.html$", 1).alias("stage"), F.decode("content", "UTF-8").alias("html"), F.sha2("content", 256).alias("sha256"))
