@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import language, ocr, text
-from pagewright.operators import defects, history, ledgers, matching, pages, sequences, trees
+from pagewright.operators import audits, citations, defects, history, ledgers, matching, pages, repairs, sequences, trees
 
 FLAGSHIP = "document_quality_ranking"
 
@@ -413,3 +413,95 @@ def repeated_phrase_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def email_split_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where(F.col("text").contains("@"))
     return docs.select("doc_id", (text.joined_addresses(F.replace("text", F.lit("@"), F.lit("@ "))) == F.col("text")).alias("restored"))
+
+
+# --- citations, references, audits, repairs -----------------------------------------------------------------
+
+_CITED_TEXT = "text || CASE doc_id % 4 WHEN 0 THEN repeat(' as shown [1-3] and [7].', 6) WHEN 1 THEN repeat(' as seen (4, 5).', 6) WHEN 2 THEN repeat(' Smith et al., 2010 found it.', 9) ELSE '' END"
+
+
+def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with citations added, in a style that depends on the id."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.expr(_CITED_TEXT).alias("text"))
+
+
+_STYLE_SQL = f"""WITH c AS (SELECT doc_id, {_CITED_TEXT} AS text FROM documents),
+    n AS (SELECT doc_id, len(regexp_extract_all(text, '{citations.PAREN}')) AS paren, len(regexp_extract_all(text, '{citations.BRACKET}')) AS bracket, len(regexp_extract_all(text, '{citations.AUTHOR_YEAR.replace("'", "''")}')) AS author_year,
+          0 AS ref_links, 0 AS super_hint, 0 AS author_hint, 0 AS structure, 0 AS numbered FROM c),
+    w AS (SELECT *, greatest(paren, bracket, super_hint, structure, numbered) AS signal, numbered >= 5 AND (super_hint >= 5 OR bracket >= 5) AS paired FROM n)
+    SELECT doc_id, {citations.style_case(1)} AS style, {citations.style_case(2)} AS confidence, paren, bracket, author_year FROM w"""
+
+
+@query(_STYLE_SQL)
+def citation_style_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return citations.styles(_cited(spark, sf_dir), ["doc_id"], F.col("text"))
+
+
+_REFS_HTML = "'<li id=\"ref-' || (1 + page_id % 3) || '\"></li><li id=\"ref-' || (4 + page_id % 3) || '\"></li><li id=\"ref-9\"></li>'"
+
+
+@query(f"""WITH h AS (SELECT page_id, html || {_REFS_HTML} AS html FROM pages), i AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '(?i)\\bid\\s*=\\s*["'']ref-(\\d+)["'']', 1))::INT AS n FROM h),
+    s AS (SELECT page_id, n, lead(n) OVER (PARTITION BY page_id ORDER BY n) AS m FROM i)
+    SELECT page_id, unnest(range(n + 1, m))::INT AS missing FROM s WHERE m - n > 1 AND m - n <= 25""")
+def reference_gap_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = table(spark, sf_dir, "pages").select("page_id", F.expr(f"html || {_REFS_HTML}").alias("html"))
+    return html.select("page_id", F.explode(citations.missing_ids(citations.reference_ids(F.col("html")))).alias("missing"))
+
+
+@query("""WITH r AS (SELECT l_orderkey, l_partkey % 20 AS number, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS place FROM lineitem),
+    s AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, number ORDER BY place) AS k, number - lag(number) OVER (PARTITION BY l_orderkey ORDER BY place) AS step FROM r)
+    SELECT l_orderkey, place, number, CASE WHEN k > 1 THEN 'duplicate_reference_number' ELSE 'reference_number_gap' END AS defect FROM s WHERE k > 1 OR step > 1""")
+def reference_identity_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    refs = lines.select("l_orderkey", (F.col("l_partkey") % 20).alias("number"), place.alias("place"))
+    return citations.identity_defects(refs, "l_orderkey", "place", "number").select("l_orderkey", "place", "number", "defect")
+
+
+@query()
+def page_block_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = pages.blocks(table(spark, sf_dir, "pages"), ["page_id"], F.col("html"))
+    return audits.block_defects(blocks, ["page_id"])
+
+
+@query("""WITH b AS (SELECT conv_id, turn, role, text, lag(text) OVER w AS last, lead(role) OVER w AS next_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    SELECT conv_id, turn, CASE WHEN text = last THEN 'repeated_turn' ELSE 'same_role_follows' END AS defect FROM b WHERE text = last OR role = next_role""")
+def conversation_order_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.lag("text").over(order).alias("last"), F.lead("role").over(order).alias("next_role"))
+    repeated = F.col("text") == F.col("last")
+    return turns.where(repeated | (F.col("role") == F.col("next_role"))).select("conv_id", "turn", F.when(repeated, "repeated_turn").otherwise("same_role_follows").alias("defect"))
+
+
+@query()
+def polished_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repairs.polish(table(spark, sf_dir, "pages"), "html")
+    return done.select("page_id", F.char_length("html").alias("before"), F.char_length("polished").alias("after"), "polished")
+
+
+@query("""SELECT metric, sum(value)::BIGINT AS total, count(*) FILTER (value != 0) AS articles FROM (SELECT 'digits' AS metric, len(regexp_extract_all(text, '[0-9]')) AS value FROM documents UNION ALL SELECT 'lines', len(string_split(text, chr(10))) FROM documents UNION ALL SELECT 'marks', len(regexp_extract_all(text, '[!?]')) FROM documents) GROUP BY metric""")
+def assessment_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = lambda p: F.regexp_count("text", F.lit(p)).cast("long")
+    metrics = F.create_map(F.lit("digits"), n("[0-9]"), F.lit("lines"), F.size(F.split("text", "\n")).cast("long"), F.lit("marks"), n("[!?]"))
+    return history.totals(table(spark, sf_dir, "documents").select(metrics.alias("metrics")))
+
+
+@query(f"""WITH d AS ({DEFECTS_SQL}), o AS (SELECT id, count(DISTINCT doc_id) AS observed FROM d GROUP BY id), c AS (SELECT id, count(DISTINCT doc_id) AS counted FROM d WHERE severity != 'info' GROUP BY id)
+    SELECT o.id, observed - coalesce(counted, 0) AS uncounted FROM o LEFT JOIN c ON o.id = c.id WHERE observed - coalesce(counted, 0) > 0""")
+def non_quality_hit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = found_defects(spark, sf_dir)
+    counted = F.countDistinct(F.when(F.col("severity") != "info", F.col("doc_id")))
+    per = found.groupBy("id").agg((F.countDistinct("doc_id") - counted).alias("uncounted"))
+    return per.where("uncounted > 0")
+
+
+@query(f"""SELECT doc_id, string_agg(id || ':' || hits, ',' ORDER BY id) AS histogram FROM ({DEFECTS_SQL}) GROUP BY doc_id""")
+def defect_id_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = F.array_sort(F.collect_list(F.concat("id", F.lit(":"), F.col("hits").cast("string"))))
+    return found_defects(spark, sf_dir).groupBy("doc_id").agg(F.array_join(pairs, ",").alias("histogram"))
+
+
+@query("""SELECT doc_id, coalesce(list_aggregate(list_distinct(list_filter(regexp_extract_all(text, '[A-Za-z]{12,}'), lambda t: true)), 'count'), 0)::BIGINT AS long_words FROM documents""")
+def distinct_long_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{12,}"), F.lit(0)))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(found).cast("long").alias("long_words"))

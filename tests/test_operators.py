@@ -122,3 +122,51 @@ def test_stream_agrees_with_batch(spark, tmp_path):
     ledger.run_to_table(stream, "latest_entries")
     got = sorted(tuple(r) for r in spark.table("latest_entries").collect())
     assert got == sorted(tuple(r) for r in ledgers.latest(events, "user_id", "ts", "event_id").collect())
+
+
+def test_references_that_fit_once(spark):
+    from pagewright.operators import citations
+
+    cites = spark.createDataFrame([(1, "Smith and Lee 2010", ["Smith", "Lee"], "2010"), (1, "Roe 1999", ["Roe"], "1999")], "d long, label string, surnames array<string>, year string")
+    refs = spark.createDataFrame([(1, "ref-1", ["smith", "lee", "title"], "2010"), (1, "ref-2", ["smith", "other"], "2010"), (1, "ref-3", ["roe"], "1999"), (1, "ref-4", ["roe"], "1999")], "d long, target string, words array<string>, year string")
+    assert [tuple(r) for r in citations.matched_references(cites, refs, "d").collect()] == [(1, "Smith and Lee 2010", "ref-1")]
+
+
+def test_recovery_reasons(spark):
+    from pagewright.operators import citations
+
+    rows = [(1, '<li id="ref-1"><li id="ref-4">', [1]), (2, '<li id="ref-1">', [1, 2]), (3, "", [5, 5]), (4, "", [])]
+    df = spark.createDataFrame(rows, "id long, h string, c array<int>")
+    got = {r["id"]: (r["numbers"], r["reason"]) for r in citations.recovery_numbers(df, ["id"], F.col("h"), F.col("c")).collect()}
+    assert got == {1: ([2, 3], "reference_id_gap"), 2: ([2], "body_citation_missing_target"), 3: ([5], "body_citation"), 4: ([], "")}
+
+
+def test_polish_repairs_and_leaves_the_rest(spark):
+    from pagewright.operators import repairs
+
+    cases = {
+        "<p>GrÃ¶ÃŸe</p>": "<p>Größe</p>",
+        "<p>Page 3 of 9</p><p>x</p>": "<p>x</p>",
+        r"a \(^{12}\) b": "a <sup>12</sup> b",
+        '<a href="#ref-3">)3</a>': ')<a href="#ref-3">3</a>',
+        '<a href="http: //a.b/c">x</a>': '<a href="http://a.b/c">x</a>',
+        "<p> &nbsp; </p><p>kept</p>": "<p>kept</p>",
+        "<head></head>": '<head><meta charset="utf-8"></head>',
+        "<p>5 < 6 and fine.</p>": "<p>5 < 6 and fine.</p>",
+    }
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "html string, want string")
+    for r in repairs.polish(df, "html").collect():
+        assert r["polished"] == r["want"]
+    got = one(spark, repairs.without_broken_links(F.col("h"), F.array(F.lit("a"))), h='<a href="#a">1</a><a href="#b.c">2</a>')
+    assert got == '<a href="#a">1</a>2'
+
+
+def test_block_audits(spark):
+    from pagewright.operators import audits
+
+    rows = [(1, i, t, x, img) for i, (t, x, img) in enumerate([("h2", "RESULTS TABLE", False), ("p", "Table 1 shows", False), ("p", "Figure 2 A caption", False), ("table", "", False), ("p", "(3)", False), ("p", "x", False), ("p", "x", False), ("p", "this goes on and", False), ("figure", "", True), ("p", "ends here.", False), ("h2", "References", False), ("li", "one", False)])]
+    df = spark.createDataFrame(rows, "doc long, idx long, tag string, text string, has_img boolean")
+    got = sorted((r["idx"], r["defect"]) for r in audits.block_defects(df, ["doc"]).collect())
+    assert got == [(0, "heading_before_caption"), (2, "caption_without_image"), (4, "orphan_equation_number"), (7, "sentence_broken_by_image")]
+    flags = [r["in_references"] for r in audits.in_references(df, ["doc"]).orderBy("idx").collect()]
+    assert flags == [False] * 10 + [True] * 2
