@@ -95,8 +95,8 @@ def failures() -> dict[str, Column]:
     return {
         "few_words": n < 10,
         "repeated_windows": 100 * m("words.n_repeat_words") > 20 * n,
-        "many_symbols": (n >= 10) & (10 * m("n_symbols") > 5 * n),
-        "repeated_lines": (m("n_lines") >= 4) & (100 * m("n_dup_lines") > 30 * m("n_lines")),
+        "many_symbols": (n >= 10) & (100 * m("n_symbols") > 20 * n),
+        "repeated_lines": (m("n_lines") >= 4) & (100 * m("n_dup_lines") > 50 * m("n_lines")),
         "word_length": (n >= 50) & ((m("word_chars") < 2 * n) | (m("word_chars") > 15 * n)),
         "shouting": (n >= 10) & (100 * m("n_capitals") > 60 * m("n_letters")),
     }
