@@ -40,7 +40,7 @@ def styles(df: DataFrame, keys: list[str], text: Column, hints: dict[str, Column
 
 def reference_ids(html: Column) -> Column:
     """The numbers of a page's reference targets, sorted, once each."""
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(r"(?i)\bid\s*=\s*['\"]ref-(\d+)['\"]"), F.lit(1)), lambda x: x.cast("int"))))
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(r"(?i)\bid\s*=\s*['\"]ref-(\d+)['\"]"), F.lit(1)), lambda x: x.try_cast("int"))))
 
 
 def missing_ids(ids: Column, widest: int = 25) -> Column:

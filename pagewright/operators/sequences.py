@@ -40,7 +40,7 @@ def merged_intervals(df: DataFrame, by: str, start: str, end: str) -> DataFrame:
 def expanded_ranges(text: Column, widest: int = 25, most: int = 250) -> Column:
     """"3,5-8" as [3, 5, 6, 7, 8]: ranges too wide and numbers out of bounds are left out, repeats kept once."""
     parts = F.split(F.regexp_replace(text, r"\s+", ""), ",")
-    bounds = F.transform(parts, lambda p: F.struct(F.regexp_extract(p, r"^(\d+)", 1).cast("int").alias("a"), F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(p, r"-(\d+)$", 1), F.lit("")), F.lit("999999999")).cast("int"), F.regexp_extract(p, r"^(\d+)", 1).cast("int")).alias("b")))
+    bounds = F.transform(parts, lambda p: F.struct(F.regexp_extract(p, r"^(\d+)", 1).try_cast("int").alias("a"), F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(p, r"-(\d+)$", 1), F.lit("")), F.lit("999999999")).try_cast("int"), F.regexp_extract(p, r"^(\d+)", 1).try_cast("int")).alias("b")))
     fit = F.filter(bounds, lambda x: x["a"].isNotNull() & (x["a"] >= 1) & (x["b"] <= most) & (x["b"] >= x["a"]) & (x["b"] - x["a"] <= widest))
     return F.array_distinct(F.flatten(F.transform(fit, lambda x: F.sequence(x["a"], x["b"]))))
 

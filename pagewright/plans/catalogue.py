@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import language, ocr, text
-from pagewright.operators import audits, citations, defects, history, ledgers, matching, pages, repairs, sequences, trees
+from pagewright.operators import audits, citations, defects, detectors, history, ledgers, matching, pages, repairs, sequences, trees
 
 FLAGSHIP = "document_quality_ranking"
 
@@ -505,3 +505,48 @@ def defect_id_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def distinct_long_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{12,}"), F.lit(0)))
     return table(spark, sf_dir, "documents").select("doc_id", F.size(found).cast("long").alias("long_words"))
+
+
+# --- the detectors' catalogue -------------------------------------------------------------------------------
+
+_MARKED = """html || CASE page_id % 5 WHEN 0 THEN '<p>mail a.b@ c.org and www. site</p><li id="ref-1">1. [1] One</li><li id="ref-3">2. Two</li><a href="#ref-9">9</a>'
+    WHEN 1 THEN '<h2>A FIGURE HEADING THAT IS LONG AND ALL IN CAPITALS</h2><p>3Department of x</p><a href="#ref-2">5</a></a>' WHEN 2 THEN '<p>Page 2 of 9</p><a href="#page-3">some plain words here</a>' ELSE '' END"""
+
+
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with defects added by id."""
+    return table(spark, sf_dir, "pages").select("page_id", F.expr(_MARKED).alias("html"))
+
+
+@query()
+def page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detectors.audit(_marked(spark, sf_dir), ["page_id"], F.col("html"))
+
+
+_MARKUP_SQL = " UNION ALL ".join("SELECT page_id, '{0}' AS id, '{1}' AS severity, '{2}' AS \"check\", len(regexp_extract_all(html, '{3}')) AS hits FROM m".format(r.id, r.severity, r.check, r.pattern.replace("'", "''")) for r in detectors.MARKUP_RULES)
+
+
+@query(f"WITH m AS (SELECT page_id, {_MARKED} AS html FROM pages) SELECT * FROM ({_MARKUP_SQL}) WHERE hits > 0")
+def page_markup_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects.detect(_marked(spark, sf_dir), ["page_id"], F.col("html"), detectors.MARKUP_RULES).drop("snippet")
+
+
+_TEXT_RULES_SQL = " UNION ALL ".join("SELECT doc_id, '{0}' AS id, '{1}' AS severity, len(regexp_extract_all(text, '{2}')) AS hits FROM documents".format(r.id, r.severity, r.pattern.replace("'", "''")) for r in detectors.TEXT_RULES)
+
+
+@query(f"SELECT * FROM ({_TEXT_RULES_SQL}) WHERE hits > 0")
+def document_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects.detect(table(spark, sf_dir, "documents"), ["doc_id"], F.col("text"), detectors.TEXT_RULES).drop("snippet", "check")
+
+
+@query("""SELECT page_id, target AS number, CASE WHEN visible != target THEN 'P21' ELSE 'P26' END AS id FROM (SELECT page_id, unnest([1, 3]) AS target, unnest([1, 2]) AS visible, unnest([0, 2]) AS step FROM pages WHERE page_id % 5 = 0) WHERE visible != target
+    UNION ALL SELECT page_id, 3, 'P26' FROM pages WHERE page_id % 5 = 0""")
+def page_reference_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detectors.reference_audit(_marked(spark, sf_dir), ["page_id"], F.col("html")).select("page_id", "number", "id")
+
+
+@query()
+def resolver_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = detectors.audit(_marked(spark, sf_dir), ["page_id"], F.col("html"))
+    decided = found.withColumn("decision", detectors.decision(F.col("id"), F.col("severity") != "info"))
+    return ledgers.decision_groups(decided, ["id", "decision"], "page_id")

@@ -170,3 +170,19 @@ def test_block_audits(spark):
     assert got == [(0, "heading_before_caption"), (2, "caption_without_image"), (4, "orphan_equation_number"), (7, "sentence_broken_by_image")]
     flags = [r["in_references"] for r in audits.in_references(df, ["doc"]).orderBy("idx").collect()]
     assert flags == [False] * 10 + [True] * 2
+
+
+def test_catalogue_of_detectors(spark):
+    from pagewright.operators import detectors
+
+    html = (
+        "<html><body><h2>A FIGURE HEADING THAT IS LONG AND ALL IN CAPITALS</h2><p>1. [1] Name</p><p>Page 2 of 9</p><table><h3>x</h3></table>"
+        '<p>see <a href="#ref-1">1</a> <a href="#ref-2">3</a> <a href="#ref-8">8</a> <a href="#page-4">as shown above here</a> <a href="#page-4">2.3</a> <a href="#page-5">Smith, 2010</a></p>'
+        '<li id="ref-1">1. One</li><li id="ref-2">2. Two</li><li id="ref-4">2. Again</li><li id="ref-5">no number</li> mail a@ b.org \\(^{3}\\)</a></a></body></html>'
+    )
+    df = spark.createDataFrame([(1, html), (2, ""), (3, None)], "id long, h string")
+    df = df.withColumnRenamed("id", "page")
+    rows = [(r["page"], r["id"]) for r in detectors.audit(df, ["page"], F.col("h")).collect()]
+    one = {rule for page, rule in rows if page == 1}
+    assert one >= {"R13", "P27", "R07", "P77", "P42", "P04R", "P51", "P43", "P56", "P22", "P26", "P97", "P89", "P28", "P34", "P81"}
+    assert {rule for page, rule in rows if page == 2} == {"R01", "R02", "R03X"} == {rule for page, rule in rows if page == 3}
