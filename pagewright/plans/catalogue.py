@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import language, ocr, text
-from pagewright.operators import audits, citations, defects, detectors, history, ledgers, matching, pages, repairs, sequences, trees
+from pagewright.operators import audits, citations, defects, detectors, history, ledgers, matching, pages, repairs, runs, sequences, trees
 
 FLAGSHIP = "document_quality_ranking"
 
@@ -550,3 +550,59 @@ def resolver_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = detectors.audit(_marked(spark, sf_dir), ["page_id"], F.col("html"))
     decided = found.withColumn("decision", detectors.decision(F.col("id"), F.col("severity") != "info"))
     return ledgers.decision_groups(decided, ["id", "decision"], "page_id")
+
+
+# --- runs ---------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT doc_id, source, place FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY source) AS n FROM (SELECT doc_id, 0 AS source, doc_id AS place FROM labels WHERE quality = 0 UNION ALL SELECT doc_id, 1, doc_id FROM labels WHERE toxic = 1 UNION ALL SELECT doc_id, 2, n_chars FROM documents WHERE doc_id % 10 = 0)) WHERE n = 1""")
+def select_article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").withColumn("place", F.col("doc_id"))
+    docs = table(spark, sf_dir, "documents").where("doc_id % 10 = 0").withColumn("place", F.col("n_chars"))
+    return runs.ordered_union([labels.where("quality = 0"), labels.where("toxic = 1"), docs], "doc_id", "place")
+
+
+@query("""WITH s AS (SELECT c_custkey::VARCHAR AS k, c_mktsegment AS state FROM customer) SELECT o.o_orderkey, coalesce(a.state, b.state) AS state FROM orders o LEFT JOIN s a ON a.k = (o.o_custkey * 3)::VARCHAR LEFT JOIN s b ON b.k = o.o_custkey::VARCHAR WHERE coalesce(a.state, b.state) IS NOT NULL""")
+def review_state_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") * 3).alias("k1"), F.col("o_custkey").alias("k2"))
+    states = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("state"))
+    return runs.state_by_any_key(items, states, ["k1", "k2"], "o_orderkey", "c_custkey", "state")
+
+
+@query("""SELECT user_id, event_type AS folder, event_id AS at FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE event_type != 'view') WHERE n = 1""")
+def processed_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    past = table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("folder"), F.col("event_id").alias("at"))
+    return runs.processed_elsewhere(past, past, "user_id", "folder", "at", "view")
+
+
+@query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'unresolved' ELSE 'resolved' END AS state FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id""")
+def resolved_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    there, gone = runs.partition_by_existence(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
+    return there.withColumn("state", F.lit("resolved")).unionByName(gone.withColumn("state", F.lit("unresolved")))
+
+
+@query("""SELECT o_orderstatus, prefix, count(*) AS n FROM (SELECT o_orderstatus, regexp_extract(o_orderpriority || o_orderkey, '^([A-Za-z]+)[0-9]+', 1) AS prefix FROM (SELECT o_orderstatus, o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'cite' WHEN 1 THEN 'fig' ELSE 'Table' END AS o_orderpriority FROM orders)) WHERE prefix != '' GROUP BY ALL""")
+def destination_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.when(F.col("o_orderkey") % 3 == 0, "cite").when(F.col("o_orderkey") % 3 == 1, "fig").otherwise("Table"), F.col("o_orderkey").cast("string"))
+    return runs.prefix_counts(table(spark, sf_dir, "orders").select("o_orderstatus", name.alias("name")), ["o_orderstatus"], "name")
+
+
+@query("""WITH e AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 7 != 0), f AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN md5(text || 'x') ELSE md5(text) END AS h FROM documents WHERE doc_id % 5 != 0)
+    SELECT coalesce(e.doc_id, f.doc_id) AS doc_id, CASE WHEN f.doc_id IS NULL THEN 'missing' WHEN e.doc_id IS NULL THEN 'unknown' ELSE 'changed' END AS problem FROM e FULL OUTER JOIN f ON e.doc_id = f.doc_id WHERE f.doc_id IS NULL OR e.doc_id IS NULL OR e.h != f.h""")
+def cached_source_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = lambda c: F.md5(F.encode(c, "UTF-8"))
+    expected = docs.where("doc_id % 7 != 0").select("doc_id", digest(F.col("text")).alias("h"))
+    found = docs.where("doc_id % 5 != 0").select("doc_id", digest(F.concat("text", F.when(F.col("doc_id") % 11 == 0, "x").otherwise(""))).alias("h"))
+    return runs.checked_snapshot(expected, found, "doc_id", "h")
+
+
+@query()
+def title_match_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 120).alias("text"))
+    return runs.title_candidates(items, table(spark, sf_dir, "documents"), "item_id", "doc_id", "text")
+
+
+@query("""SELECT p_partkey, (CASE WHEN n <= 15 THEN n ELSE len(list_distinct(list_concat([0, 1, 2, n - 3, n - 2, n - 1], list_transform(range(1, 10), lambda i: round_even((n - 1) * i / 10.0, 0)::INT)))) END)::INT AS sampled FROM (SELECT p_partkey, p_size AS n FROM part)""")
+def sampled_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.size(runs.sampled_pages(F.col("p_size"))).cast("int").alias("sampled"))

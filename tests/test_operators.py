@@ -186,3 +186,20 @@ def test_catalogue_of_detectors(spark):
     one = {rule for page, rule in rows if page == 1}
     assert one >= {"R13", "P27", "R07", "P77", "P42", "P04R", "P51", "P43", "P56", "P22", "P26", "P97", "P89", "P28", "P34", "P81"}
     assert {rule for page, rule in rows if page == 2} == {"R01", "R02", "R03X"} == {rule for page, rule in rows if page == 3}
+
+
+def test_runs(spark):
+    from pagewright.operators import runs
+
+    df = spark.createDataFrame([(n,) for n in (0, 5, 15, 16, 40)], "n int")
+    got = {r["n"]: r["p"] for r in df.select("n", runs.sampled_pages(F.col("n")).alias("p")).collect()}
+    assert got[0] == [] and got[5] == [0, 1, 2, 3, 4] and len(got[15]) == 15
+    assert got[40] == sorted({0, 1, 2, 37, 38, 39} | {round(39 * i / 10) for i in range(1, 10)})[:15]
+    counts = spark.createDataFrame([(1, "Cite", 3), (1, "ref", 3), (1, "fig", 9)], "d long, prefix string, n long")
+    assert runs.dominant_prefix(counts, ["d"], ["ref", "cite"]).first()["prefix"] == "ref"
+    queue = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "path string, attempts int")
+    outcome = spark.createDataFrame([("a", "uploaded"), ("b", "failed")], "path string, outcome string")
+    assert sorted(tuple(r) for r in runs.retried(queue, outcome, ["path"]).collect()) == [("b", 2), ("c", 2)]
+    f = spark.createDataFrame([(1, "alpha bravo charlie delta echoes foxtrot golfing")], "f long, text string")
+    t = spark.createDataFrame([(1, "the alpha bravo charlie delta echoes foxtrot golfing hotel"), (2, "golfing foxtrot echoes delta charlie bravo alpha")], "t long, text string")
+    assert [(r["t"], r["score"]) for r in runs.title_candidates(f, t, "f", "t", "text").collect()] == [(1, 1.0)]
