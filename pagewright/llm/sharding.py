@@ -42,12 +42,13 @@ def quotas(flows: dict[tuple[int, int], int], room: dict[int, int], shards: int)
     return share
 
 
-def propagate(linked: DataFrame, total: int, shards: int, rounds: int = 12, slack: float = 0.03) -> DataFrame:
+def propagate(linked: DataFrame, total: int, shards: int, rounds: int = 8, slack: float = 0.03, settled: float = 0.001) -> DataFrame:
     """Give each (row, link) row a shard; return (row, link, shard).
 
     A row belongs to one link here; rows of a link see each other's shards.
     Room is what a shard's share of all ``total`` rows, and a little ``slack``
     that the evening out takes back, leaves beside the linked rows it holds.
+    Rounds end when no more than a share ``settled`` of the linked rows would move.
     """
     room_each = int(total / shards * (1 + slack))
     state = materialize(linked.withColumn("shard", F.pmod(F.xxhash64("row", F.lit("first")), F.lit(shards)).cast("int")), "shards")
@@ -65,7 +66,7 @@ def propagate(linked: DataFrame, total: int, shards: int, rounds: int = 12, slac
         gains = F.col("to").isNotNull() & (F.col("shard") != F.col("to")) & (F.struct("n", F.xxhash64("link", "shard")) < F.struct("to_n", F.xxhash64("link", "to"))) & (F.col("shard") != F.col("top"))
         moves = materialize(per.where(gains).select("link", "shard", "to", "n"), "moves")
         flows = {(r["shard"], r["to"]): r["n"] for r in moves.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}
-        if not flows:
+        if sum(flows.values()) <= settled * sum(held.values()):
             break
         accepted = quotas(flows, room, shards)
         fits = F.element_at(F.array(*[F.lit(a) for a in accepted]), F.col("to") + 1)
@@ -79,7 +80,7 @@ def propagate(linked: DataFrame, total: int, shards: int, rounds: int = 12, slac
     return state
 
 
-def shard_documents(docs: DataFrame, link: F.Column, shards: int = 16, rounds: int = 12, carry: dict[str, F.Column] | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, link: F.Column, shards: int = 16, rounds: int = 8, carry: dict[str, F.Column] | None = None) -> DataFrame:
     """One row per document: the columns in ``carry``, its ``link``, its ``shard`` and its ``slot`` in the shard, from 0 without gaps."""
     carry = carry or {}
     slim = materialize(docs.select(*[c.alias(f"c_{k}") for k, c in carry.items()], link.alias("link"), F.monotonically_increasing_id().alias("row")), "documents")
