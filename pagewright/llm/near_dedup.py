@@ -191,21 +191,24 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, r
     return slim.mapInArrow(run, f"id {kind}, row long, digest binary, shingles array<int>, keys array<long>")
 
 
+def is_settled(edges: DataFrame) -> bool:
+    """Whether edges (u, v) are stars: each u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def contract(links: DataFrame) -> DataFrame:
     """Connected components of (a, b) by alternating large and small stars: (node, root), root the least node."""
-    edges, before = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges"), None
-    while True:
+    edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
+    while not is_settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
+        large = materialize(large.distinct(), "edges")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low.withColumnRenamed("u", "c"), F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(low.select("u", F.col("m").alias("v")))
         edges = materialize(small.distinct(), "edges")
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == before or not now["n"]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -218,33 +221,116 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(F.col("n") >= F.lit(threshold) * (F.col("total") - F.col("n")) - 1e-9).select("a", "b")
 
 
+#: Leaders per bucket in each round; what is not settled then is compared in tiles.
+LEADERS = (1, 4)
+#: Rows in a block of a tile.
+BLOCK = 512
+
+
 def link_classes(met: DataFrame, sets: DataFrame, threshold: float) -> DataFrame | None:
-    """(node, root) for the rows that have links, from (key, row, n, meets): rows that meet in buckets."""
-    classes, leaders_at_once = None, 1
-    while True:
-        if classes is None:
-            active = met.withColumn("class", F.col("row"))
-        else:
-            active = met.join(classes.select(F.col("node").alias("c_node"), F.col("root").alias("c_root")), F.col("row") == F.col("c_node"), "left").select(*met.columns, F.coalesce("c_root", "row").alias("class"))
-        seeds = [F.max(F.struct("meets" if leaders_at_once == 1 else F.xxhash64("row", F.lit(i + leaders_at_once)).alias("meets"), "row", "n", "class")).alias(f"l{i}") for i in range(leaders_at_once)]
+    """(node, root) for the rows that have links, from (key, row, n, meets): rows that meet in buckets.
+
+    A round's leaders are, first, the member that meets most others, and then
+    members that are still alone: one that has no links must be held against
+    all others anyway, while a class needs no member to be compared for it.
+    A leader that has been compared with its whole bucket leaves it, and pairs
+    are made once however many buckets two rows share. Buckets that still hold
+    several classes after these rounds are compared exactly, tile by tile.
+    """
+    classes = None
+    for number, count in enumerate(LEADERS):
+        active = with_class(met, classes)
+        # The members are dealt to ``count`` parts by a hash that is the same in every bucket; each part gives one leader.
+        seeds = [F.max(F.when(F.pmod(F.xxhash64("row", F.lit(number)), F.lit(count)) == i, F.struct("alone", "meets", "row", "n", "class"))).alias(f"l{i}") for i in range(count)]
         buckets = active.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), *seeds).where("low != high")
-        buckets = buckets.select(F.col("key").alias("b_key"), F.array_distinct(F.array(*[F.col(f"l{i}") for i in range(leaders_at_once)])).alias("leaders"))
+        given = F.filter(F.array(*[F.col(f"l{i}") for i in range(count)]), lambda x: x.isNotNull())
+        buckets = buckets.select(F.col("key").alias("b_key"), F.transform(given, lambda x: F.struct(x["row"].alias("row"), x["n"].alias("n"), x["class"].alias("class"))).alias("leaders"))
         inside = materialize(active.join(buckets, F.col("key") == F.col("b_key")).select("key", "row", "n", "meets", "class", "leaders"), "active")
-        each = inside.select("row", "n", "class", F.explode("leaders").alias("leader")).where("class != leader.class")
-        fits = (F.col("n") >= F.lit(threshold) * F.col("leader.n") - 1e-9) & (F.col("leader.n") >= F.lit(threshold) * F.col("n") - 1e-9)
-        pairs = each.where(fits).select(F.least("row", "leader.row").alias("a"), F.greatest("row", "leader.row").alias("b")).distinct()
+        if inside.isEmpty():
+            return classes
+        per_row = inside.groupBy("row", "n", "class").agg(F.array_distinct(F.flatten(F.collect_set("leaders"))).alias("leaders"))
+        fits = lambda x: (F.col("class") != x["class"]) & (F.col("n") >= F.lit(threshold) * x["n"] - 1e-9) & (x["n"] >= F.lit(threshold) * F.col("n") - 1e-9)
+        each = per_row.select("row", F.explode(F.transform(F.filter("leaders", fits), lambda x: x["row"])).alias("leader"))
+        pairs = each.select(F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")).distinct()
         links = materialize(similar(pairs, sets, threshold), "links")
-        rest = inside.where(~F.exists("leaders", lambda x: x["row"] == F.col("row"))).select("key", "row", "n", "meets")
-        if not rest.isEmpty():
-            met, more = rest, True
-        else:
-            more = False
+        met = inside.where(~F.exists("leaders", lambda x: x["row"] == F.col("row"))).select("key", "row", "n", "meets")
         if not links.isEmpty():
-            known = links if classes is None else links.unionByName(classes.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            classes = contract(known)
-        if not more:
-            return classes
-        leaders_at_once = min(32, leaders_at_once * 2)
+            classes = merged(classes, links)
+    links = materialize(tiled_links(with_class(met, classes), sets, threshold), "links")
+    return classes if links.isEmpty() else merged(classes, links)
+
+
+def merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
+    known = links if classes is None else links.unionByName(classes.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return contract(known)
+
+
+def with_class(met: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """``met`` with each row's class so far and whether it is alone."""
+    if classes is None:
+        return met.withColumn("class", F.col("row")).withColumn("alone", F.lit(1))
+    # A root is no node of its own: it stands for itself.
+    known = classes.select(F.col("node").alias("c_row"), F.col("root").alias("c_root")).unionByName(classes.select(F.col("root").alias("c_row"), F.col("root").alias("c_root")).distinct())
+    return met.join(known, F.col("row") == F.col("c_row"), "left").select(*met.columns, F.coalesce("c_root", "row").alias("class"), F.col("c_root").isNull().cast("int").alias("alone"))
+
+
+def tiled_links(active: DataFrame, sets: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between rows of different classes that share a bucket, all pairs held against each other in tiles.
+
+    A row's home is the largest bucket among its own and its neighbours'; a
+    home's rows are dealt to blocks, those that are alone apart from those in
+    classes. Two blocks that meet in any
+    bucket are one tile, compared once. A task gets two blocks and returns only
+    links, so neither the rows moved nor those made grow with the pairs.
+    """
+    mixed = active.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size")).where("low != high").select(F.col("key").alias("m_key"), "size")
+    inside = materialize(active.join(mixed, F.col("key") == F.col("m_key")).select("key", "row", "class", "alone", "size"), "active")
+    # The home of a bucket is the largest home of its rows; a row then moves to the largest home of its buckets.
+    home = inside.groupBy("row").agg(F.max(F.struct("size", "key")).alias("home")).withColumnRenamed("row", "r_row")
+    shared = inside.join(home, F.col("row") == F.col("r_row")).groupBy("key").agg(F.max("home").alias("home")).withColumnRenamed("key", "s_key")
+    homes = inside.join(shared, F.col("key") == F.col("s_key")).groupBy("row").agg(F.max("home").alias("home"), F.first("class").alias("class"), F.first("alone").alias("alone"))
+    homes = homes.select(F.col("row").alias("h_row"), "class", "home.key", "alone")
+    counts = homes.groupBy("key", "alone").agg(F.count("*").alias("n")).select(F.col("key").alias("k"), F.col("alone").alias("a"), F.ceil(F.col("n") / block).alias("parts"))
+    placed = homes.join(counts, (F.col("key") == F.col("k")) & (F.col("alone") == F.col("a"))).select("h_row", "class", F.xxhash64("key", "alone", F.pmod(F.xxhash64("h_row"), F.col("parts"))).alias("block"))
+    placed = materialize(placed, "blocks")
+    uniform = placed.groupBy("block").agg(F.min("class").alias("low"), F.max("class").alias("high")).withColumnRenamed("block", "u_block")
+    meet = inside.join(placed, F.col("row") == F.col("h_row")).select("key", "block").distinct()
+    one, two = meet.withColumnRenamed("block", "one"), meet.select(F.col("key").alias("key2"), F.col("block").alias("two"))
+    tiles = one.join(two, (F.col("key") == F.col("key2")) & (F.col("one") <= F.col("two"))).select("one", "two").distinct()
+    # Two blocks of one and the same class have nothing to tell.
+    tiles = tiles.join(uniform, F.col("one") == F.col("u_block")).select("one", "two", F.col("low").alias("low1"), F.col("high").alias("high1")).join(uniform, F.col("two") == F.col("u_block"))
+    tiles = tiles.where("least(low, low1) != greatest(high, high1)").select("one", "two", F.xxhash64("one", "two").alias("tile"))
+    sides = tiles.select("tile", F.explode(F.array_distinct(F.array("one", "two"))).alias("side"))
+    sized = placed.join(sets.select(F.col("row").alias("s_row"), "shingles"), F.col("h_row") == F.col("s_row"))
+    members = sides.join(sized, F.col("side") == F.col("block")).select("tile", "side", F.col("h_row").alias("row"), "class", "shingles")
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows, classes = table.column("row").to_numpy(), table.column("class").to_numpy()
+        side = table.column("side").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        tokens = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+        sizes = np.asarray(lists.value_lengths())
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        left = np.flatnonzero(side == side.min())
+        right = np.flatnonzero(side == side.max())
+        shared = np.zeros((len(left), len(right)), dtype=np.float32)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        width = 4096
+        for at in range(0, int(tokens[-1]) + 1 if len(tokens) else 0, width):
+            cut = slice(*np.searchsorted(tokens, [at, at + width]))
+            part = np.zeros((len(rows), width), dtype=np.float32)
+            part[owner[cut], tokens[cut] - at] = 1
+            shared += part[left] @ part[right].T
+        total = sizes[left][:, None] + sizes[right][None, :] - shared
+        i, j = np.nonzero((shared >= threshold * total - 1e-9) & (classes[left][:, None] != classes[right][None, :]))
+        a, b = rows[left[i]], rows[right[j]]
+        ca, cb = classes[left[i]], classes[right[j]]
+        # One link for each pair of classes is enough to join them.
+        first = np.unique(np.stack([np.minimum(ca, cb), np.maximum(ca, cb)]), axis=1, return_index=True)[1] if len(a) else np.empty(0, dtype=np.int64)
+        return pa.table({"a": pa.array(np.minimum(a, b)[first], pa.int64()), "b": pa.array(np.maximum(a, b)[first], pa.int64())})
+
+    return members.groupBy("tile").applyInArrow(compare, "a long, b long")
 
 
 def kept_documents(docs: DataFrame, **options) -> DataFrame:
@@ -259,22 +345,22 @@ def kept_documents(docs: DataFrame, **options) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, weighted: bool = False, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per document: id, class_id (the least id of its class), class_size, kept (one row of each class)."""
     sketched = materialize(sketch(docs, id_col, text_col, size, bands, rows, weighted), "sketch")
-    copies = sketched.groupBy("digest").agg(F.min("row").alias("rep"), F.count("*").alias("copies"))
-    reps = materialize(sketched.select("id", "row", "digest").join(copies.withColumnRenamed("digest", "c_digest"), F.col("digest") == F.col("c_digest")).select("id", "row", "rep"), "reps")
-
-    listed = sketched.select("row", F.size("shingles").alias("n"), F.explode("keys").alias("key"))
-    first = reps.where("row = rep").select(F.col("row").alias("r_row"))
-    listed = listed.join(first, F.col("row") == F.col("r_row"), "left_semi")
-    buckets = listed.groupBy("key").agg(F.count("*").alias("meets")).where("meets > 1").withColumnRenamed("key", "b_key")
-    met = materialize(listed.join(buckets, F.col("key") == F.col("b_key")).select("key", "row", "n", "meets"), "met")
+    copies = materialize(sketched.groupBy("digest").agg(F.min("row").alias("rep"), F.count("*").alias("copies")).where("copies > 1").select(F.col("digest").alias("c_digest"), F.col("rep").alias("c_rep")), "copies")
+    held = lambda df: F.broadcast(df) if df.count() <= broadcast_rows else df
+    reps = sketched.select("id", "row", "digest").join(held(copies), F.col("digest") == F.col("c_digest"), "left").select("id", "row", F.coalesce("c_rep", "row").alias("rep"))
+    reps = materialize(reps, "reps")
+    others = materialize(reps.where("row != rep").select(F.col("row").alias("o_row")), "others")
+
+    firsts = sketched.join(held(others), F.col("row") == F.col("o_row"), "left_anti")
+    listed = firsts.select("row", F.size("shingles").alias("n"), F.explode("keys").alias("key"))
+    buckets = materialize(listed.groupBy("key").agg(F.count("*").alias("meets")).where("meets > 1").withColumnRenamed("key", "b_key"), "buckets")
+    met = materialize(listed.join(held(buckets), F.col("key") == F.col("b_key")).select("key", "row", "n", "meets"), "met")
     degrees = met.groupBy("row").agg(F.sum("meets").alias("degree")).withColumnRenamed("row", "d_row")
     met = met.join(degrees, F.col("row") == F.col("d_row")).select("key", "row", "n", F.col("degree").alias("meets"))
     wanted = met.select(F.col("row").alias("w_row")).distinct()
-    some = wanted.count()
-    classes = None
-    if some:
-        wanted = F.broadcast(wanted) if some <= broadcast_rows else wanted
-        sets = materialize(sketched.select("row", "shingles").join(wanted, F.col("row") == F.col("w_row"), "left_semi"), "sets")
+    wanted, classes = materialize(wanted, "wanted"), None
+    if not wanted.isEmpty():
+        sets = materialize(sketched.select("row", "shingles").join(held(wanted), F.col("row") == F.col("w_row"), "left_semi"), "sets")
         classes = link_classes(materialize(met, "met"), sets, threshold)
     if classes is None:
         rooted = reps.select("id", "row", F.col("rep").alias("root"))
