@@ -15,10 +15,10 @@ empty result. Other columns are not read.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,10 +71,11 @@ class Ids:
     """Token ids of texts by a tokenizer file.
 
     White space ends tokens in this vocabulary, so a text's ids are those of its
-    words, and words repeat. The ids of words seen before are kept, up to a bound.
+    words, and words repeat. The ids of the first ``most`` words met are kept,
+    among them all common ones; other words are encoded as they come.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -82,31 +83,26 @@ class Ids:
         self.known: dict[bytes, bytes] = {}
         self.most = most
 
-    def learn(self, new: list[bytes]) -> None:
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
+    def encoded(self, words: list[bytes]) -> Iterator[bytes]:
+        for i in range(0, len(words), 4096):
+            for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False):
+                yield array("I", e.ids).tobytes()
 
     def of(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Each text's ids, with the end token."""
-        end = np.array([END], dtype="<u4").tobytes()
-        for text in texts:
-            found = text.encode().split()
-            known = self.known
-            try:
-                ids = [known[w] for w in found]
-            except KeyError:
-                self.learn([w for w in set(found) if w not in known])
-                known = self.known
-                if any(w not in known for w in found):  # the store was emptied
-                    self.learn(list(set(found)))
-                    known = self.known
-                ids = [known[w] for w in found]
-            ids.append(end)
-            yield np.frombuffer(b"".join(ids), dtype="<u4")
+        end = array("I", [END]).tobytes()
+        for at in range(0, len(texts), 64):
+            split = [text.encode().split() for text in texts[at : at + 64]]
+            new = list({w for found in split for w in found}.difference(self.known))
+            fresh = dict(zip(new, self.encoded(new)))
+            ids = self.known
+            if len(ids) + len(fresh) <= self.most:
+                ids.update(fresh)
+                fresh = {}
+            for found in split:
+                parts = [ids[w] if w in ids else fresh[w] for w in found] if fresh else [ids[w] for w in found]
+                parts.append(end)
+                yield np.frombuffer(b"".join(parts), dtype="<u4")
 
 
 _ids: dict[str, Ids] = {}
@@ -132,7 +128,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     groups = max(1, -(-docs.count() // group))
-    dealt = slim.withColumn("bin", F.pmod(F.xxhash64("id", F.crc32(F.substring("text", 1, 64)), F.lit(seed)), F.lit(groups)))
+    dealt = slim.withColumn("bin", F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(groups)))
     schema = SCHEMA.format(id=kind).replace("ids binary", "ids_crc32 long" if digests else "ids binary")
 
     def one(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
