@@ -92,17 +92,23 @@ class Ids:
         """Each text's ids, with the end token."""
         end = array("I", [END]).tobytes()
         for at in range(0, len(texts), 64):
-            split = [text.encode().split() for text in texts[at : at + 64]]
-            new = list({w for found in split for w in found}.difference(self.known))
-            fresh = dict(zip(new, self.encoded(new)))
-            ids = self.known
-            if len(ids) + len(fresh) <= self.most:
-                ids.update(fresh)
-                fresh = {}
-            for found in split:
-                parts = [ids[w] if w in ids else fresh[w] for w in found] if fresh else [ids[w] for w in found]
-                parts.append(end)
-                yield np.frombuffer(b"".join(parts), dtype="<u4")
+            words, ends = [], []
+            for text in texts[at : at + 64]:
+                words += text.encode().split()
+                ends.append(len(words))
+            parts = list(map(self.known.get, words))
+            if None in parts:
+                places = [i for i, p in enumerate(parts) if p is None]
+                new = list({words[i] for i in places})
+                fresh = dict(zip(new, self.encoded(new)))
+                for i in places:
+                    parts[i] = fresh[words[i]]
+                if len(self.known) + len(fresh) <= self.most:
+                    self.known.update(fresh)
+            first = 0
+            for last in ends:
+                yield np.frombuffer(b"".join(parts[first:last]) + end, dtype="<u4")
+                first = last
 
 
 _ids: dict[str, Ids] = {}
