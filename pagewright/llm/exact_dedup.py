@@ -81,13 +81,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts are equal when they agree after all white space is deleted. ``digest``
     may be any function of the normalised text; a weak one costs time, not
     correctness, since bytes decide. ``max_files`` bounds a micro-batch. Up to
-    ``broadcast_rows`` shared digests are broadcast, so that only the texts of
-    hits are shuffled; beyond that all texts are.
+    ``broadcast_rows`` shared digests, and rows that share them, are broadcast,
+    so that only the texts of hits are shuffled; beyond that all texts are.
     """
     spark, carry = docs.sparkSession, carry or []
     store = shared_path(spark, "dedup-content")
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    laid = docs.select(docs[id_col].alias("id"), F.char_length(text).alias("n_points"), text.alias("text"), digest(stripped(text)).alias("digest"), F.monotonically_increasing_id().alias("locator"), *[docs[c].alias(f"carry_{i}") for i, c in enumerate(carry)])
+    raw = docs[text_col].cast("string")
+    text = F.coalesce(raw, F.lit(""))
+    laid = docs.select(docs[id_col].alias("id"), F.char_length(text).alias("n_points"), raw.alias("text"), digest(stripped(text)).alias("digest"), F.monotonically_increasing_id().alias("locator"), *[docs[c].alias(f"carry_{i}") for i, c in enumerate(carry) if c != text_col])
     laid.write.option("compression", "zstd").parquet(store)
     content = spark.read.schema(laid.schema).parquet(store)
     slim = content.select("id", "n_points", "digest", "locator").schema
@@ -95,7 +96,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     shared = materialize(state.where("n_rows > 1").select("digest", F.col("best.locator").alias("keeper")), "dedup-shared")
     few = shared.count() <= broadcast_rows
-    hits = content.select("id", "n_points", "digest", "locator", stripped(F.col("text")).alias("bytes")).join(F.broadcast(shared) if few else shared, "digest")
+    hits = content.select("id", "n_points", "digest", "locator", stripped(F.coalesce("text", F.lit(""))).alias("bytes")).join(F.broadcast(shared) if few else shared, "digest")
     hits = materialize(hits, "dedup-hits")
     keepers = hits.where("locator = keeper").select("digest", F.col("bytes").alias("kept_bytes"))
     compared = hits.join(keepers, "digest").select("id", "n_points", "digest", "locator", F.when(F.col("bytes") != F.col("kept_bytes"), F.col("bytes")).alias("other"))
@@ -103,7 +104,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = compared.groupBy("digest", "other").agg(F.count("*").alias("size"), _best().alias("best"))
     groups = groups.select(F.col("digest").alias("g_digest"), F.col("other").alias("g_other"), "size", F.col("best.id").alias("best_id"), F.col("best.locator").alias("best_locator"))
     settled = compared.join(groups, (F.col("digest") == F.col("g_digest")) & F.col("other").eqNullSafe(F.col("g_other"))).select(F.col("locator").alias("s_locator"), "size", "best_id", "best_locator")
-    out = content.join(settled, F.col("locator") == F.col("s_locator"), "left")
+    settled = materialize(settled, "dedup-settled")
+    few = settled.count() <= broadcast_rows
+    out = content.join(F.broadcast(settled) if few else settled, F.col("locator") == F.col("s_locator"), "left")
     alone = F.col("s_locator").isNull()
     return out.select(
         F.col("id").alias(id_col),
@@ -111,5 +114,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("locator") == F.col("best_locator"))).alias("kept"),
         F.col("digest"),
-        *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)],
+        *[F.col("text" if c == text_col else f"carry_{i}").alias(c) for i, c in enumerate(carry)],
     )

@@ -338,8 +338,9 @@ def kept_documents(docs: DataFrame, **options) -> DataFrame:
     laid = materialize(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), F.monotonically_increasing_id().alias("place")), "laid")
     column = options.pop("text_col", "text")
     found = near_duplicates(laid.select("place", F.col(f"document.{column}").alias("text")), "place", "text", **options)
-    kept = found.where("kept").select(F.col("place").alias("k_place"))
-    return laid.join(kept, F.col("place") == F.col("k_place"), "left_semi").select("document.*")
+    gone = materialize(found.where("NOT kept").select(F.col("place").alias("g_place")), "gone")
+    few = gone.count() <= options.get("broadcast_rows", BROADCAST_ROWS)
+    return laid.join(F.broadcast(gone) if few else gone, F.col("place") == F.col("g_place"), "left_anti").select("document.*")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, weighted: bool = False, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
