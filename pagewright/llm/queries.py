@@ -112,4 +112,18 @@ ORACLES: dict[str, str] = {
                (size * (floor(rate) + CASE WHEN ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0 < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source
     """,
+    "op7_quality_rules": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+             w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+             g AS (SELECT r, i, words[i:i + 4] AS g FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+             p AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1),
+             c AS (SELECT r, count(DISTINCT i + k) AS n FROM p, (SELECT unnest(range(0, 5)) AS k) GROUP BY r),
+             m AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(t, '{WHITE}+', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+                          length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS caps, length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) AS letters FROM w LEFT JOIN c ON w.r = c.r),
+             b AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END) AS base,
+                          (CASE WHEN n_words >= 10 AND 100 * n_symbols > 20 * n_words THEN 4 ELSE 0 END) + (CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END)
+                          + (CASE WHEN n_words >= 50 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) THEN 16 ELSE 0 END) + (CASE WHEN n_words >= 10 AND 100 * caps > 60 * letters THEN 32 ELSE 0 END) AS more FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base > 0 AS base_failed, base + more = 0 AS kept, (base + more)::BIGINT AS failed_bits FROM b
+    """,
 }
