@@ -167,7 +167,7 @@ def test_classifier_on_labelled_documents(spark, odd, none):
 def test_grams_are_smoothed_and_normalised(spark):
     texts = spark.createDataFrame([("the cat sat on the mat and the rat sat",), ("a hat and a bat",)], "text string")
     m = quality_classifier.train(texts)
-    p = 10.0 ** m.logp.astype(np.float64).reshape(-1, 64)
+    p = 10.0 ** m.table().astype(np.float64).reshape(-1, 64)
     assert np.allclose(p.sum(1), 1, atol=0.02)
 
 

@@ -57,7 +57,7 @@ def test_model_against_the_textbook(spark):
     for t in [*texts, "the zebra"]:
         for gram in coder.grams(t).tolist():
             classes = tuple((gram >> (6 * i)) & 63 for i in (3, 2, 1, 0))
-            assert math.isclose(float(m.logp[gram]), math.log10(p(classes)), abs_tol=0.01)
+            assert math.isclose(float(m.table()[gram]), math.log10(p(classes)), abs_tol=0.01)
 
 
 def test_stages_against_brute_force(spark):
