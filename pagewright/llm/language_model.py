@@ -9,10 +9,11 @@ lie in classes of equal number, so P(unit | context) = P(class | context) x
 P(unit | class, context), both normalised by matrix products over a batch of
 tokens; a word of a bucket has its add-one share of the bucket.
 
-Training is numpy in tasks: each pass, every trainer takes its part of a fixed
-share of the training documents through stochastic noise-contrastive steps from
-the shared parameters, and the parameters are averaged. The share grows with
-the corpus; the number of trainers is bounded.
+Training is numpy in tasks: each pass, every training document goes through
+stochastic noise-contrastive steps in one trainer, from the shared parameters,
+and the parameters are averaged, weighted by tokens, by a tree of aggregates.
+The number of trainers grows with the rows: a trainer has about ``DOCS``
+documents, dealt by a written row number, so null and repeated ids spread.
 
 Counts of words beyond a bounded dictionary come back by a join on the word, so
 no task holds the vocabulary.
@@ -45,7 +46,8 @@ CLASSES, PER_CLASS = 64, 64
 UNITS, BUCKETS = CLASSES * PER_CLASS, PER_CLASS
 COMMON = UNITS - BUCKETS
 DIM, CONTEXT, NOISE = 16, 4, 8
-DICTIONARY, TRAINERS, PASSES, SHARE = 300_000, 12, 2, 16
+DICTIONARY, TRAINERS, PASSES = 300_000, 12, 2
+DOCS, TOKENS, FAN = 4_000, 1_000_000, 32
 
 
 def held_out(doc_id: Column) -> Column:
@@ -191,9 +193,9 @@ def contexts(units: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def hidden(model: Model, before: np.ndarray) -> np.ndarray:
-    out = model.context[0][before[0]]
+    out = model.context[0].take(before[0], 0)
     for i in range(1, CONTEXT):
-        out = out + model.context[i][before[i]]
+        out += model.context[i].take(before[i], 0)
     return out
 
 
@@ -208,20 +210,28 @@ def nce_pass(model: Model, units: np.ndarray, ends: np.ndarray, rng: np.random.G
     mass = model.unit_mass().reshape(CLASSES, PER_CLASS)
     p_class = mass.sum(1) / mass.sum()
     p_unit = mass / mass.sum(1, keepdims=True)
-    class_cdf, unit_cdf = np.cumsum(p_class), np.cumsum(p_unit, axis=1)
+    class_cdf = np.cumsum(p_class)
+    unit_cdf = (np.arange(CLASSES)[:, None] + np.cumsum(p_unit, axis=1)).ravel()  # each class's own after the one before
     log_class, log_unit = np.log(NOISE * p_class).astype(np.float32), np.log(NOISE * p_unit).astype(np.float32)
     grown = {name: np.full(getattr(model, name).shape, 1e-2, dtype=np.float32) for name in PARTS}
 
-    def step(name: str, at: np.ndarray, gradient: np.ndarray) -> None:
-        """Add up the gradients of repeated rows, then move."""
+    def grouped(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows by number: their order, the different rows and where each begins. Numbers fit 16 bits, which numpy sorts by radix."""
+        order = np.argsort(at.astype(np.uint16), kind="stable")
+        rows = at[order]
+        firsts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        return order, rows[firsts], firsts
+
+    def step(name: str, groups: tuple[np.ndarray, np.ndarray, np.ndarray], gradient: np.ndarray) -> None:
+        """Add up the gradients of repeated rows, then move. Gradients repeat if there are fewer of them than rows."""
         value, g2 = getattr(model, name), grown[name]
         flat = value.reshape(-1, gradient.shape[1]) if gradient.ndim > 1 else value.reshape(-1)
         size = g2.reshape(flat.shape)
-        rows, inverse = np.unique(at, return_inverse=True)
-        order = np.argsort(inverse, kind="stable")
-        total = np.add.reduceat(gradient[order], np.searchsorted(inverse[order], np.arange(len(rows))))
-        size[rows] += total * total
-        flat[rows] -= rate * total / np.sqrt(size[rows])
+        order, rows, firsts = groups
+        total = np.add.reduceat(gradient.take(order, 0, mode="wrap"), firsts)
+        grew = size.take(rows, 0) + total * total
+        size[rows] = grew
+        flat[rows] = flat.take(rows, 0) - rate * total / np.sqrt(grew)
 
     order = rng.permutation(len(units))
     for at in range(0, len(order), batch):
@@ -240,20 +250,22 @@ def nce_pass(model: Model, units: np.ndarray, ends: np.ndarray, rng: np.random.G
         g_class = np.concatenate([d_true[:, None] * h, d_noise.T @ h])
         g_class_bias = np.concatenate([d_true, d_noise.sum(0)])
         # Units in their class: noise for each token from its own class.
-        drawn = (rng.random((n, NOISE))[:, :, None] > unit_cdf[c][:, None, :]).sum(2).clip(0, PER_CLASS - 1)
+        drawn = (np.searchsorted(unit_cdf, c[:, None] + rng.random((n, NOISE))) - c[:, None] * PER_CLASS).clip(0, PER_CLASS - 1)
         every = np.concatenate([u[:, None], drawn], axis=1)
         rows = c[:, None] * PER_CLASS + every
-        vectors = model.unit_vec.reshape(UNITS, DIM)[rows]
+        vectors = model.unit_vec.reshape(UNITS, DIM).take(rows, 0)
         e = np.einsum("nd,nkd->nk", h, vectors) + model.unit_bias.reshape(-1)[rows] - log_unit.reshape(-1)[rows]
         d = 1 / (1 + np.exp(-e))
         d[:, 0] -= 1
         dh += np.einsum("nk,nkd->nd", d, vectors)
-        step("unit_vec", rows.ravel(), (d[:, :, None] * h[:, None, :]).reshape(-1, DIM))
-        step("unit_bias", rows.ravel(), d.ravel())
-        step("class_vec", label, g_class)
-        step("class_bias", label, g_class_bias)
+        groups = grouped(rows.ravel())
+        step("unit_vec", groups, (d[:, :, None] * h[:, None, :]).reshape(-1, DIM))
+        step("unit_bias", groups, d.ravel())
+        groups = grouped(label)
+        step("class_vec", groups, g_class)
+        step("class_bias", groups, g_class_bias)
         places = np.arange(CONTEXT)[:, None] * (UNITS + 1) + before[:, pick]
-        step("context", places.ravel(), np.tile(dh, (CONTEXT, 1)))
+        step("context", grouped(places.ravel()), dh)
 
 
 def flattened(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
@@ -267,11 +279,38 @@ def flattened(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     return flat, np.array(n, dtype=np.int64)
 
 
-def train(docs: DataFrame, model: Model, trainers: int = TRAINERS, passes: int = PASSES, share: int = SHARE) -> Model:
-    """Fit the parameters on the documents (id, text) whose hash falls into one of ``share`` parts."""
+def merged(parts: DataFrame, n: int, fan: int = FAN) -> tuple[int, np.ndarray | None]:
+    """All tokens seen and the mean of (trainer, seen, flat) rows weighted by them; trainers count from 0 to below ``n``.
+
+    Rows are merged ``fan`` at a time in tasks until ``fan`` are left, so the
+    driver reads a bounded number of rows, one at a time.
+    """
+
+    def one(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, mass = 0.0, 0
+        for batch in batches:
+            for seen, flat in zip(batch.column("seen"), batch.column("flat")):
+                total = total + seen.as_py() * np.frombuffer(flat.as_py(), dtype=np.float32).astype(np.float64)
+                mass += seen.as_py()
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([mass], pa.int64()), pa.array([(total / mass).astype(np.float32).tobytes()], pa.binary())], ["trainer", "seen", "flat"])
+
+    while n > fan:
+        n = -(-n // fan)
+        level = parts.select(F.pmod("trainer", F.lit(n)).cast("int").alias("trainer"), "seen", "flat")
+        parts = materialize(level.groupBy("trainer").applyInArrow(one, "trainer int, seen long, flat binary"), "lm-parts")
+    total, mass = 0.0, 0
+    for row in parts.toLocalIterator():
+        total = total + row["seen"] * np.frombuffer(bytes(row["flat"]), dtype=np.float32).astype(np.float64)
+        mass += row["seen"]
+    return mass, (total / mass).astype(np.float32) if mass else None
+
+
+def train(docs: DataFrame, model: Model, trainers: int = TRAINERS, passes: int = PASSES, per: int = DOCS) -> Model:
+    """Fit the parameters on all documents of a column ``text``, about ``per`` a trainer, with ``trainers`` at least."""
     spark, model = docs.sparkSession, start(model)
-    chosen = docs.where(F.pmod(F.xxhash64("id", F.lit("train")), F.lit(share)) == 0).select("text", F.pmod(F.xxhash64("id", "text"), F.lit(trainers)).cast("int").alias("trainer"))
-    chosen = materialize(chosen, "lm-train")
+    chosen = materialize(docs.select("text", F.monotonically_increasing_id().alias("row")), "lm-train")
+    trainers = max(trainers, -(-chosen.count() // per))
+    dealt = chosen.select("text", F.pmod(F.xxhash64("row"), F.lit(trainers)).cast("int").alias("trainer"))
     for number in range(passes):
         held = spark.sparkContext.broadcast(model)
 
@@ -282,22 +321,33 @@ def train(docs: DataFrame, model: Model, trainers: int = TRAINERS, passes: int =
             for name in PARTS:
                 setattr(own, name, getattr(own, name).copy())
             units, rng, seen = Units(own), np.random.default_rng([number, key[0].as_py()]), 0
+            ids, ns, waiting = [], [], 0
+
+            def learn() -> None:
+                nonlocal waiting
+                if waiting:
+                    nce_pass(own, np.concatenate(ids), np.cumsum(np.concatenate(ns)), rng)
+                ids.clear()
+                ns.clear()
+                waiting = 0
+
             for batch in batches:
-                for at in range(0, batch.num_rows, 2000):
-                    flat, n = flattened(batch.column("text").slice(at, 2000).to_pylist())
-                    ids = np.fromiter(map(units.__getitem__, flat), dtype=np.int32, count=len(flat))
-                    nce_pass(own, ids, np.cumsum(n), rng)
-                    seen += len(ids)
+                for at in range(0, batch.num_rows, 256):
+                    flat, n = flattened(batch.column("text").slice(at, 256).to_pylist())
+                    ids.append(np.fromiter(map(units.__getitem__, flat), dtype=np.int32, count=len(flat)))
+                    ns.append(n)
+                    seen += len(flat)
+                    waiting += len(flat)
+                    if waiting >= TOKENS:
+                        learn()
+            learn()
             flat = np.concatenate([getattr(own, name).ravel() for name in PARTS])
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["seen", "flat"])
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([seen], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["trainer", "seen", "flat"])
 
-        total, mass = 0.0, 0
-        parts = materialize(chosen.groupBy("trainer").applyInArrow(one, "seen long, flat binary"), "lm-parts")
-        for row in parts.toLocalIterator():  # at most ``trainers`` rows of a fixed size, one file at a time; the trainers are done
-            total = total + row["seen"] * np.frombuffer(bytes(row["flat"]), dtype=np.float32).astype(np.float64)
-            mass += row["seen"]
+        parts = materialize(dealt.groupBy("trainer").applyInArrow(one, "trainer int, seen long, flat binary"), "lm-parts")
+        mass, flat = merged(parts, trainers)
         if mass:
-            flat, at = (total / mass).astype(np.float32), 0
+            at = 0
             for name in PARTS:
                 old = getattr(model, name)
                 setattr(model, name, flat[at : at + old.size].reshape(old.shape))
@@ -328,12 +378,12 @@ def log_probs(model: Model, units: np.ndarray, ends: np.ndarray, block: int = 65
     return out
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = DICTIONARY, trainers: int = TRAINERS, passes: int = PASSES, share: int = SHARE) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = DICTIONARY, trainers: int = TRAINERS, passes: int = PASSES, per: int = DOCS) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     slim = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"), held_out(docs[id_col]).alias("held_out"))
     counts = materialize(count_words(slim.where(~F.col("held_out"))), "lm-counts")
-    model = train(slim.where(~F.col("held_out")), dictionary(counts, most), trainers, passes, share)
+    model = train(slim.where(~F.col("held_out")), dictionary(counts, most), trainers, passes, per)
     held = spark.sparkContext.broadcast(model)
     rows = slim.withColumn("row", F.monotonically_increasing_id())
 

@@ -138,6 +138,25 @@ def test_lm_counts_and_gain(docs, odd, none):
     assert language_model.score(none).count() == 0
 
 
+def test_lm_learns_from_every_training_document(spark):
+    words = [b"word%d" % i for i in range(60)]
+    model = language_model.Model(words, np.full(60, 2), 180, 61, np.zeros(64, int), np.zeros(64, int))
+    rows = [(None if i < 20 else 7 if i < 40 else i, f"word{i} word{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    before = language_model.start(model).context[0][:60].copy()
+    after = language_model.train(df, model, trainers=2, passes=1, per=10).context[0][:60]
+    assert (before != after).any(1).all()  # a word's vector as context moves only in a trainer that read its document
+
+
+def test_lm_merges_trainers_as_one_mean(spark):
+    rng = np.random.default_rng(4)
+    seen, flat = rng.integers(1, 100, 50), rng.normal(size=(50, 6)).astype(np.float32)
+    parts = spark.createDataFrame([(i, int(n), bytearray(v.tobytes())) for i, (n, v) in enumerate(zip(seen, flat))], "trainer int, seen long, flat binary")
+    mass, mean = language_model.merged(parts, 50, fan=3)
+    assert mass == seen.sum() and np.allclose(mean, (seen[:, None] * flat).sum(0) / seen.sum(), atol=1e-5)
+    assert language_model.merged(parts.limit(0), 0) == (0, None)
+
+
 def test_lm_is_normalised():
     rng = np.random.default_rng(2)
     words = [b"w%d" % i for i in range(5000)]
