@@ -183,6 +183,24 @@ def test_classifier_on_labelled_documents(spark, odd, none):
     assert quality_classifier.classify(none, labels).count() == 0
 
 
+def test_thresholds_come_from_all_trusted_documents(spark):
+    texts = {"en": "the cat sat on the mat and the rat ran", "xx": "zq xw qz wx zzq"}
+    rows = [(i, f"{texts[lang]} {i * 7919 % 1000}", lang) for i in range(90) for lang in (["en", "xx"][i >= 60],)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    got = quality_classifier.classify(docs, labels, sample=20).select("lang", "threshold").distinct().collect()
+    assert len({r["threshold"] for r in got}) == 2 == len(got)  # each language has its own
+
+
+def test_quantiles_are_exact(spark):
+    rng = np.random.default_rng(6)
+    values = {"a": rng.normal(2, 1, 501), "b": np.array([1.5] * 40 + [1.50001]), "c": np.array([3.0]), None: rng.random(100)}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs], "key string, value double")
+    for q in (0.0, 0.5, 0.99):
+        got = {r["key"]: r["cut"] for r in quality_classifier.quantiles(df, q).collect()}
+        assert set(got) == set(values) and all(abs(got[k] - np.quantile(v, q)) < 1e-9 for k, v in values.items())
+
+
 def test_grams_are_smoothed_and_normalised(spark):
     texts = spark.createDataFrame([("the cat sat on the mat and the rat sat",), ("a hat and a bat",)], "text string")
     m = quality_classifier.train(texts)
