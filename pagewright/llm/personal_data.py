@@ -10,10 +10,11 @@ the one before it and to the first, so edges grow with the nodes. Loopy
 sum-product messages give each node's label; a node outside the base spans that
 is surely part of an entity becomes a span of its own.
 
-Weights are fitted on a bounded share of documents, about ``sample`` of them
-chosen by a hash of their id, labelled by the patterns: a softmax regression of
-the node features, and log-ratios of label pairs for the two kinds of edges.
-What is gathered is a table of feature patterns and labels, not texts.
+The field runs in every text that has a digit or an at sign, whether or not the
+patterns find anything there. Its weights come from all documents, labelled by
+the patterns: a softmax regression of the node features, and log-ratios of label
+pairs for the two kinds of edges. What is gathered is a table of feature
+patterns and labels, not texts.
 
 Defined cases: a null or empty text has no spans; any length is read whole; a
 null id is a row like any other; repeated rows get equal results; an empty
@@ -211,7 +212,7 @@ def beliefs(field: Field, g: Graph, rounds: int = 12) -> np.ndarray:
 
 
 def added_spans(text: str, spans: list[Span], field: Field, least: float) -> list[Span]:
-    """Nodes outside the base spans that are linked to a mention and surely part of an entity."""
+    """Nodes outside the base spans that share a skip edge and are surely part of an entity."""
     g = graph(text, spans)
     if not len(g.words) or not len(g.skip) or (g.labels > 0).all():
         return []
@@ -229,11 +230,8 @@ def added_spans(text: str, spans: list[Span], field: Field, least: float) -> lis
     return out
 
 
-def gather(docs: DataFrame, sample: int) -> list[tuple[str, int, int, int]]:
-    """The table for ``fit``, from about ``sample`` documents: a row per feature pattern and label."""
-    total = docs.count()
-    part = min(1.0, sample / max(1, total))
-    chosen = docs.where(F.pmod(F.xxhash64("id", F.lit("pii")), F.lit(1_000_000)) < int(part * 1_000_000)).select("text")
+def gather(docs: DataFrame) -> list[tuple[str, int, int, int]]:
+    """The table for ``fit``, from all documents: a row per feature pattern and label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, int, int], int] = defaultdict(int)
@@ -248,15 +246,15 @@ def gather(docs: DataFrame, sample: int) -> list[tuple[str, int, int, int]]:
                             counts[what, int(g.labels[a]), int(g.labels[b])] += 1
         yield pa.RecordBatch.from_pylist([{"what": w, "a": a, "b": b, "n": n} for (w, a, b), n in counts.items()], pa.schema([("what", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())]))
 
-    found = chosen.mapInArrow(run, "what string, a long, b long, n long").groupBy("what", "a", "b").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(run, "what string, a long, b long, n long").groupBy("what", "a", "b").agg(F.sum("n").alias("n"))
     return sorted((r["what"], r["a"], r["b"], r["n"]) for r in found.collect())  # bounded: 2^14 patterns, 5 labels
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 5_000, least: float = 0.9, redacted: bool = False) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9, redacted: bool = False) -> DataFrame:
     """One row per document: id, base and added (arrays of kind, start, end), and with ``redacted`` the text with spans replaced by their kinds."""
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    field = fit(gather(slim, sample))
+    field = fit(gather(slim))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def hidden(text: str, spans: list[Span]) -> str:
@@ -271,8 +269,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
         for batch in batches:
             base, added, texts = [], [], []
             for text in batch.column("text").to_pylist():
-                b = base_spans(text) if ANY.search(text) else []
-                a = added_spans(text, b, field, least) if b else []
+                some = ANY.search(text)
+                b = base_spans(text) if some else []
+                a = added_spans(text, b, field, least) if some else []
                 base.append([dict(zip(("kind", "start", "end"), x)) for x in b])
                 added.append([dict(zip(("kind", "start", "end"), x)) for x in a])
                 if redacted:

@@ -56,6 +56,16 @@ def test_a_linked_mention_is_added():
     assert personal_data.added_spans("2024 and 2024 again", [], field, 0.9) == []
 
 
+def test_the_field_runs_without_base_spans_and_counts_all(spark):
+    rows = [(i, f"write to jane{i}.doe@mail.example.com today or jane{i}.doe@mail.example.com later, seen in 2024") for i in range(60)]
+    rows.append((99, "ask jane7.doe@mail..com today and jane7.doe@mail..com again"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    (got,) = personal_data.find(df).where("doc_id = 99").collect()
+    assert got["base"] == [] and [x["kind"] for x in got["added"]] == ["email", "email"]
+    table = personal_data.gather(df.selectExpr("doc_id AS id", "text"))
+    assert sum(n for what, _, y, n in table if what == "node" and y == 1) == 120
+
+
 def rules_by_hand(text):
     text = text or ""
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
