@@ -1,7 +1,8 @@
 """Packing by first-fit decreasing over randomised groups of documents.
 
-Documents are dealt to groups by a hash of their id; each group is tokenised
-and packed on its own in one task, so the only shuffle is the deal. A document
+Documents are dealt to groups by a hash of the row number written with them;
+each group is tokenised and packed on its own in one task, so the only shuffle
+is the deal. The tokenizer's added tokens in a text are those tokens. A document
 is cut into full sequences and a rest; the rests of a group are placed longest
 first, each into the first sequence with room, which a tournament tree of bin
 capacities finds in logarithmic time.
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import materialize, text_of
 
 LENGTH, END, GROUP = 4096, 2, 1024
 
@@ -79,7 +80,6 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
         self.most = most
 
@@ -133,8 +133,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    groups = max(1, -(-docs.count() // group))
-    dealt = slim.withColumn("bin", F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(groups)))
+    written = materialize(slim.withColumn("row", F.monotonically_increasing_id()), "pack-rows")
+    groups = max(1, -(-written.count() // group))
+    dealt = written.select("id", "text", F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(groups)).alias("bin"))
     schema = SCHEMA.format(id=kind).replace("ids binary", "ids_crc32 long" if digests else "ids binary")
 
     def one(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:

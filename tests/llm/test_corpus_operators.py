@@ -51,6 +51,24 @@ def test_packing_odd_rows(odd, none):
     assert packing.pack(none, PATH).count() == 0
 
 
+def test_packing_keeps_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    texts = ["<|startoftext|>", "<|endoftext|>", "in<|endoftext|>side and <|startoftext|>before", "<|STARTOFTEXT|> x <|EndOfText|>y", "a\t <|endoftext|>\n<|endoftext|>  b"]
+    want = {s: [*t.encode(s, add_special_tokens=False).ids, 2] for s in texts}
+    assert [x.tolist() for x in packing.Ids(PATH).of(texts)] == list(want.values())
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), dtype="<u4").tolist() for r in packing.pack(df, PATH).collect()}
+    assert got == dict(enumerate(want.values())) and {49406, 49407} <= set(got[2])
+
+
+def test_packing_deals_equal_rows_apart(spark):
+    df = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    got = packing.pack(df, PATH, group=50).groupBy("sequence_id").count().collect()
+    assert len(got) == 8 and max(r["count"] for r in got) < 100
+
+
 def test_first_fit_is_first_fit():
     rng = np.random.default_rng(0)
     for _ in range(30):
