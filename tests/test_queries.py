@@ -1,3 +1,9 @@
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -35,3 +41,14 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_entry_without_the_training_data_operators(tmp_path):
+    """With the subpackage gone, the pipeline beside it or not, the other queries are listed."""
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "pagewright", tmp_path / "pagewright", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path / name)
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries())); assert set(e.oracle_sql()) <= set(e.queries())"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
+    assert said.stdout.split() == sorted(catalogue.QUERIES)
