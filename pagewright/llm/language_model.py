@@ -1,19 +1,20 @@
 """Scoring by a log-bilinear language model trained with noise-contrastive estimation.
 
 Tokens are words, with A-Z lower-cased, and one end per text. Counts are exact
-over all training documents. The most common words and 64 buckets of all other
-words, by their shape and last letters, are the model's units. A context is the
-sum of the vectors of the tokens before, each under a weight vector of its
-place; a unit's energy is that sum times the unit's vector plus a bias. Units
-lie in classes of equal number, so P(unit | context) = P(class | context) x
-P(unit | class, context), both normalised by matrix products over a batch of
-tokens; a word of a bucket has its add-one share of the bucket.
-
-Training is numpy in tasks: each pass, every training document goes through
-stochastic noise-contrastive steps in one trainer, from the shared parameters,
-and the parameters are averaged, weighted by tokens, by a tree of aggregates.
-The number of trainers grows with the rows: a trainer has about ``DOCS``
-documents, dealt by a written row number, so null and repeated ids spread.
+over all training documents. The end, the most common words, and buckets of all
+other words by their last letters are the model's units. A context is the sum of
+the vectors of the tokens before, each with vectors of its own for each place; a
+unit's energy is that sum times the unit's vector plus a bias. Units lie in
+classes of equal number, so P(unit | context) = P(class | context) x P(unit |
+class, context), both normalised by matrix products over a batch of tokens; a
+word of a bucket has its add-one share of the bucket.
+
+Training is numpy in tasks: each partition of the training documents is a
+trainer, which takes every one of its documents through stochastic
+noise-contrastive steps from the shared parameters. Noise is drawn once for a
+group of tokens and shared by them as weights, so a step is matrix products.
+Trainers grow with the input's partitions; their parameters are averaged,
+weighted by tokens, by a tree of aggregates.
 
 Counts of words beyond a bounded dictionary come back by a join on the word, so
 no task holds the vocabulary.
@@ -27,27 +28,27 @@ columns are not read.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, text_of
 
 END = b"\n"  # not a word: words have no white space
-CLASSES, PER_CLASS = 64, 64
+CLASSES, PER_CLASS = 32, 32
 UNITS, BUCKETS = CLASSES * PER_CLASS, PER_CLASS
-COMMON = UNITS - BUCKETS
-DIM, CONTEXT, NOISE = 16, 4, 8
-DICTIONARY, TRAINERS, PASSES = 300_000, 12, 2
-DOCS, TOKENS, FAN = 4_000, 1_000_000, 32
+COMMON = UNITS - BUCKETS  # the end and the most common words
+DIM, CONTEXT, NOISE = 8, 4, 8
+DICTIONARY, PASSES, FAN = 300_000, 1, 32
 
 
 def held_out(doc_id: Column) -> Column:
@@ -59,37 +60,34 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-_LETTERS = bytes(i if 97 <= i <= 122 or i >= 128 else 0 for i in range(256))
+# What a word ends in: a letter or digit, a mark that ends a sentence or part of one, another mark.
+_ENDS = np.array([0 if chr(i).isalnum() or i >= 128 else 1 if chr(i) in ".,;:" else 2 for i in range(256)])
 
 
 def bucket(word: bytes) -> int:
-    """A number below 64: two bits for what the word ends in, four for its last letters."""
-    letters = word.translate(_LETTERS, b"")
-    bare = letters.strip(b"\0")
-    tail = word[-1]
-    shape = 0 if letters[-1] else 1 if tail in b".,;:" else 2 if tail in b"!?&%$#*|" else 3
-    return shape * 16 + zlib.crc32(bare[-3:]) % 16
+    """A number below BUCKETS from a word's last letters and the mark after them."""
+    shape = _ENDS[word[-1]]
+    if shape:
+        return int(16 + 8 * (shape - 1) + zlib.crc32(word[-4:-1]) % 8)
+    return zlib.crc32(word[-3:]) % 16
 
 
 @dataclass
 class Model:
-    """Parameters and the counts that the buckets need; every array is bounded by UNITS or DICTIONARY."""
+    """Parameters and the counts that the buckets need; every array is bounded by UNITS or the dictionary."""
 
-    words: list[bytes]
+    words: list[bytes]  # the end, then words from the most common on
     counts: np.ndarray
     total: int
     types: int
     bucket_count: np.ndarray
     bucket_types: np.ndarray
-    context: np.ndarray = field(default=None)  # CONTEXT x (UNITS + 1) x DIM: a unit's vector under the weights of a place
+    context: np.ndarray = field(default=None)  # CONTEXT x (UNITS + 1) x DIM: a unit's vector at each place before
     class_vec: np.ndarray = field(default=None)
     class_bias: np.ndarray = field(default=None)
     unit_vec: np.ndarray = field(default=None)  # CLASSES x PER_CLASS x DIM
     unit_bias: np.ndarray = field(default=None)
-
-    def index(self) -> dict[bytes, int]:
-        """Unit of each common word."""
-        return {w: i for i, w in enumerate(self.words[:COMMON])}
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def unit_mass(self) -> np.ndarray:
         mass = np.ones(UNITS)
@@ -98,19 +96,35 @@ class Model:
         return mass
 
 
-class Units(dict):
-    """Unit of a word; buckets are worked out once."""
+class Numbers(dict):
+    """A number for each word: its place in the dictionary, or past it the bucket of an unseen word; arrays tell the rest."""
 
     def __init__(self, model: Model, most: int = 500_000):
-        super().__init__(model.index())
-        self.most = most
+        super().__init__(zip(model.words, range(len(model.words))))
+        n = len(model.words)
+        self.beyond, self.most = n, n + most
+        self.unit = np.concatenate([np.arange(min(n, COMMON)), [COMMON + bucket(w) for w in model.words[COMMON:]], np.arange(COMMON, UNITS)]).astype(np.int32)
+        self.log = np.concatenate([np.log10(model.counts + 1.0), np.zeros(BUCKETS)])
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > self.most:
-            for w in [w for w, u in self.items() if u >= COMMON]:
-                del self[w]
-        self[word] = unit = COMMON + bucket(word)
-        return unit
+        number = self.beyond + bucket(word)
+        if len(self) < self.most:
+            self[word] = number
+        return number
+
+    def of(self, flat: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, flat), dtype=np.int32, count=len(flat))
+
+
+_numbers: dict[str, Numbers] = {}
+
+
+def numbers(model: Model) -> Numbers:
+    """Made once per worker and model."""
+    if model.key not in _numbers:
+        _numbers.clear()
+        _numbers[model.key] = Numbers(model)
+    return _numbers[model.key]
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -121,7 +135,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             words = list(seen)
-            made = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(list(seen.values()), pa.int64()), pa.array([0 if w == END else bucket(w) for w in words], pa.int32())], ["word", "c", "bucket"])
+            made = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(list(seen.values()), pa.int64()), pa.array([bucket(w) for w in words], pa.int32())], ["word", "c", "bucket"])
             seen.clear()
             return made
 
@@ -139,8 +153,10 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(counts: DataFrame, most: int) -> Model:
-    """The common words with their counts, at most ``most``, and the sums that complete the counts."""
-    sums = counts.groupBy("bucket").agg(F.sum("c").alias("n"), F.count("*").alias("types")).collect()  # 64 rows
+    """The end and the common words with their counts, at most ``most``, and the sums that complete the counts."""
+    end = sum(r["c"] for r in counts.where(F.col("word") == F.lit(END)).select("c").collect())  # one row
+    counts = counts.where(F.col("word") != F.lit(END))
+    sums = counts.groupBy("bucket").agg(F.sum("c").alias("n"), F.count("*").alias("types")).collect()  # a row per bucket
     levels = counts.groupBy("c").agg(F.count("*").alias("k")).where(F.col("k") < most).orderBy(F.desc("c")).limit(most)
     tail, least = 0, None
     for row in levels.toLocalIterator():  # distinct counts from the top, at most as many as the words they stand for
@@ -149,19 +165,18 @@ def dictionary(counts: DataFrame, most: int) -> Model:
             break
         least = row["c"]
     top = counts.where(F.col("c") >= least).select("word", "c").toPandas() if least is not None else pd.DataFrame({"word": [], "c": []})
-    top["word"] = top["word"].map(bytes)
     if least is None or len(top) < COMMON:  # one level alone is larger: its first words in order
         top = counts.orderBy(F.desc("c"), "word").limit(COMMON).select("word", "c").toPandas()
-        top["word"] = top["word"].map(bytes)
+    top["word"] = top["word"].map(bytes)
     top = top.sort_values(["c", "word"], ascending=[False, True], kind="stable")
-    words, c = top["word"].tolist(), top["c"].to_numpy(dtype=np.int64)
+    words, c = [END, *top["word"]], np.r_[end, top["c"].to_numpy(dtype=np.int64)]
     n, types = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
     for row in sums:
         n[row["bucket"]] += row["n"]
         types[row["bucket"]] += row["types"]
-    total, all_types = int(n.sum()), int(types.sum())
-    for w, k in zip(words[:COMMON], c):
-        at = 0 if w == END else bucket(w)
+    total, all_types = int(n.sum()) + end, int(types.sum()) + (end > 0)
+    for w, k in zip(words[1:COMMON], c[1:]):
+        at = bucket(w)
         n[at] -= k
         types[at] -= 1
     return Model(words, c, total, all_types, n, types)
@@ -199,73 +214,71 @@ def hidden(model: Model, before: np.ndarray) -> np.ndarray:
     return out
 
 
-def nce_pass(model: Model, units: np.ndarray, ends: np.ndarray, rng: np.random.Generator, rate: float = 0.1, batch: int = 1024) -> None:
-    """One pass of noise-contrastive steps, in place, with AdaGrad step sizes.
+def by_class(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that brings tokens of one class together, and where each class begins and ends in it."""
+    c = (units // PER_CLASS).astype(np.uint16)
+    order = np.argsort(c, kind="stable")
+    return order, np.searchsorted(c[order], np.arange(CLASSES + 1))
 
-    For the class and for the unit within its class alike, the true label and
-    NOISE labels drawn from the unigram distribution are told apart by
-    sigma(energy - log(NOISE x noise probability)).
+
+class Trainer:
+    """Noise-contrastive steps in place, with AdaGrad step sizes.
+
+    A true label and NOISE labels drawn from the unigram distribution are told
+    apart by sigma(energy - log(NOISE x noise probability)): classes among all
+    classes, then units among those of their class. The noise of a group of
+    tokens is drawn at once; how often a label was drawn weighs its column.
     """
-    before = contexts(units, ends)
-    mass = model.unit_mass().reshape(CLASSES, PER_CLASS)
-    p_class = mass.sum(1) / mass.sum()
-    p_unit = mass / mass.sum(1, keepdims=True)
-    class_cdf = np.cumsum(p_class)
-    unit_cdf = (np.arange(CLASSES)[:, None] + np.cumsum(p_unit, axis=1)).ravel()  # each class's own after the one before
-    log_class, log_unit = np.log(NOISE * p_class).astype(np.float32), np.log(NOISE * p_unit).astype(np.float32)
-    grown = {name: np.full(getattr(model, name).shape, 1e-2, dtype=np.float32) for name in PARTS}
-
-    def grouped(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows by number: their order, the different rows and where each begins. Numbers fit 16 bits, which numpy sorts by radix."""
-        order = np.argsort(at.astype(np.uint16), kind="stable")
-        rows = at[order]
-        firsts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-        return order, rows[firsts], firsts
-
-    def step(name: str, groups: tuple[np.ndarray, np.ndarray, np.ndarray], gradient: np.ndarray) -> None:
-        """Add up the gradients of repeated rows, then move. Gradients repeat if there are fewer of them than rows."""
-        value, g2 = getattr(model, name), grown[name]
-        flat = value.reshape(-1, gradient.shape[1]) if gradient.ndim > 1 else value.reshape(-1)
-        size = g2.reshape(flat.shape)
-        order, rows, firsts = groups
-        total = np.add.reduceat(gradient.take(order, 0, mode="wrap"), firsts)
-        grew = size.take(rows, 0) + total * total
-        size[rows] = grew
-        flat[rows] = flat.take(rows, 0) - rate * total / np.sqrt(grew)
-
-    order = rng.permutation(len(units))
-    for at in range(0, len(order), batch):
-        pick = order[at : at + batch]
-        h, true = hidden(model, before[:, pick]), units[pick]
-        c, u, n = true // PER_CLASS, true % PER_CLASS, len(pick)
-        dh = np.zeros_like(h)
-        # Classes: one set of noise classes a batch, so energies are one matrix product.
-        label = np.concatenate([c, np.searchsorted(class_cdf, rng.random(NOISE * 8)).clip(0, CLASSES - 1)])
-        noise = label[n:]
-        e_true = (h * model.class_vec[c]).sum(1) + model.class_bias[c] - log_class[c]
-        e_noise = h @ model.class_vec[noise].T + model.class_bias[noise] - log_class[noise]
-        d_true = 1 / (1 + np.exp(-e_true)) - 1
-        d_noise = 1 / (1 + np.exp(-e_noise)) / 8
-        dh += d_true[:, None] * model.class_vec[c] + d_noise @ model.class_vec[noise]
-        g_class = np.concatenate([d_true[:, None] * h, d_noise.T @ h])
-        g_class_bias = np.concatenate([d_true, d_noise.sum(0)])
-        # Units in their class: noise for each token from its own class.
-        drawn = (np.searchsorted(unit_cdf, c[:, None] + rng.random((n, NOISE))) - c[:, None] * PER_CLASS).clip(0, PER_CLASS - 1)
-        every = np.concatenate([u[:, None], drawn], axis=1)
-        rows = c[:, None] * PER_CLASS + every
-        vectors = model.unit_vec.reshape(UNITS, DIM).take(rows, 0)
-        e = np.einsum("nd,nkd->nk", h, vectors) + model.unit_bias.reshape(-1)[rows] - log_unit.reshape(-1)[rows]
-        d = 1 / (1 + np.exp(-e))
-        d[:, 0] -= 1
-        dh += np.einsum("nk,nkd->nd", d, vectors)
-        groups = grouped(rows.ravel())
-        step("unit_vec", groups, (d[:, :, None] * h[:, None, :]).reshape(-1, DIM))
-        step("unit_bias", groups, d.ravel())
-        groups = grouped(label)
-        step("class_vec", groups, g_class)
-        step("class_bias", groups, g_class_bias)
-        places = np.arange(CONTEXT)[:, None] * (UNITS + 1) + before[:, pick]
-        step("context", grouped(places.ravel()), dh)
+
+    def __init__(self, model: Model, rng: np.random.Generator, rate: float = 0.1):
+        self.model, self.rng, self.rate, self.seen = model, rng, rate, 0
+        mass = model.unit_mass().reshape(CLASSES, PER_CLASS)
+        self.p_class = mass.sum(1) / mass.sum()
+        self.p_unit = mass / mass.sum(1, keepdims=True)
+        self.log_class, self.log_unit = np.log(NOISE * self.p_class).astype(np.float32), np.log(NOISE * self.p_unit).astype(np.float32)
+        self.grown = {name: np.full(getattr(model, name).shape, 1e-2, dtype=np.float32) for name in PARTS}
+
+    def contrast(self, h: np.ndarray, true: np.ndarray, vec: np.ndarray, bias: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Gradients by context, vectors and biases of one group of tokens; ``bias`` is less the noise's logarithms."""
+        e = h @ vec.T
+        e += bias
+        np.negative(e, out=e)
+        np.exp(e, out=e)
+        e += 1
+        np.reciprocal(e, out=e)  # how true each label looks
+        at = np.arange(len(true))
+        own = e[at, true] - 1
+        e *= (self.rng.multinomial(NOISE * len(true), p) / len(true)).astype(np.float32)
+        e[at, true] += own
+        return e @ vec, e.T @ h, e.sum(0)
+
+    def step(self, units: np.ndarray, before: np.ndarray) -> None:
+        m = self.model
+        h = hidden(m, before)
+        grad = {name: np.zeros_like(getattr(m, name)) for name in PARTS}
+        dh, grad["class_vec"], grad["class_bias"] = self.contrast(h, units // PER_CLASS, m.class_vec, m.class_bias - self.log_class, self.p_class)
+        order, cuts = by_class(units)
+        inside, sorted_h, sorted_dh = (units % PER_CLASS)[order], h.take(order, 0), np.empty_like(h)
+        for k in np.flatnonzero(np.diff(cuts)):
+            part = slice(cuts[k], cuts[k + 1])
+            sorted_dh[part], grad["unit_vec"][k], grad["unit_bias"][k] = self.contrast(sorted_h[part], inside[part], m.unit_vec[k], m.unit_bias[k] - self.log_unit[k], self.p_unit[k])
+        dh[order] += sorted_dh
+        columns = dh.T.astype(np.float64)
+        for i in range(CONTEXT):
+            for d in range(DIM):
+                grad["context"][i, :, d] = np.bincount(before[i], weights=columns[d], minlength=UNITS + 1)
+        for name in PARTS:
+            self.grown[name] += grad[name] ** 2
+            getattr(m, name)[...] -= self.rate * grad[name] / np.sqrt(self.grown[name])
+
+    def learn(self, units: np.ndarray, ends: np.ndarray) -> None:
+        """One pass over a row of texts; steps are short at first and grow to ``8192`` tokens."""
+        before, at = contexts(units, ends), 0
+        while at < len(units):
+            n = min(8192, max(256, self.seen // 32))
+            self.step(units[at : at + n], before[:, at : at + n])
+            at += n
+            self.seen += n
 
 
 def flattened(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
@@ -305,47 +318,31 @@ def merged(parts: DataFrame, n: int, fan: int = FAN) -> tuple[int, np.ndarray |
     return mass, (total / mass).astype(np.float32) if mass else None
 
 
-def train(docs: DataFrame, model: Model, trainers: int = TRAINERS, passes: int = PASSES, per: int = DOCS) -> Model:
-    """Fit the parameters on all documents of a column ``text``, about ``per`` a trainer, with ``trainers`` at least."""
+def train(docs: DataFrame, model: Model, passes: int = PASSES, chunk: int = 256) -> Model:
+    """Fit the parameters on all documents of a column ``text``; each partition is a trainer."""
     spark, model = docs.sparkSession, start(model)
-    chosen = materialize(docs.select("text", F.monotonically_increasing_id().alias("row")), "lm-train")
-    trainers = max(trainers, -(-chosen.count() // per))
-    dealt = chosen.select("text", F.pmod(F.xxhash64("row"), F.lit(trainers)).cast("int").alias("trainer"))
     for number in range(passes):
         held = spark.sparkContext.broadcast(model)
 
-        def one(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import copy
 
-            own = copy.copy(held.value)
+            place = TaskContext.get().partitionId()
+            own, seen = copy.copy(held.value), 0
             for name in PARTS:
                 setattr(own, name, getattr(own, name).copy())
-            units, rng, seen = Units(own), np.random.default_rng([number, key[0].as_py()]), 0
-            ids, ns, waiting = [], [], 0
-
-            def learn() -> None:
-                nonlocal waiting
-                if waiting:
-                    nce_pass(own, np.concatenate(ids), np.cumsum(np.concatenate(ns)), rng)
-                ids.clear()
-                ns.clear()
-                waiting = 0
-
+            words, trainer = numbers(own), Trainer(own, np.random.default_rng([number, place]))
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    flat, n = flattened(batch.column("text").slice(at, 256).to_pylist())
-                    ids.append(np.fromiter(map(units.__getitem__, flat), dtype=np.int32, count=len(flat)))
-                    ns.append(n)
+                for at in range(0, batch.num_rows, chunk):
+                    flat, n = flattened(batch.column("text").slice(at, chunk).to_pylist())
+                    trainer.learn(words.unit[words.of(flat)], np.cumsum(n))
                     seen += len(flat)
-                    waiting += len(flat)
-                    if waiting >= TOKENS:
-                        learn()
-            learn()
-            flat = np.concatenate([getattr(own, name).ravel() for name in PARTS])
-            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([seen], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["trainer", "seen", "flat"])
-
-        parts = materialize(dealt.groupBy("trainer").applyInArrow(one, "trainer int, seen long, flat binary"), "lm-parts")
-        mass, flat = merged(parts, trainers)
+            if seen:
+                flat = np.concatenate([getattr(own, name).ravel() for name in PARTS])
+                yield pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([seen], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["trainer", "seen", "flat"])
+
+        parts = materialize(docs.select("text").mapInArrow(run, "trainer int, seen long, flat binary"), "lm-parts")
+        mass, flat = merged(parts, (parts.agg(F.max("trainer")).first()[0] or 0) + 1)
         if mass:
             at = 0
             for name in PARTS:
@@ -356,60 +353,60 @@ def train(docs: DataFrame, model: Model, trainers: int = TRAINERS, passes: int =
 
 
 def _log_softmax_at(energies: np.ndarray, at: np.ndarray) -> np.ndarray:
-    top = energies.max(axis=1, keepdims=True)
-    return energies[np.arange(len(at)), at] - top[:, 0] - np.log(np.exp(energies - top).sum(axis=1))
+    own = energies[np.arange(len(at)), at]
+    top = energies.max(axis=1)
+    energies -= top[:, None]
+    np.exp(energies, out=energies)
+    return own - top - np.log(energies.sum(axis=1))
 
 
-def log_probs(model: Model, units: np.ndarray, ends: np.ndarray, block: int = 65_536) -> np.ndarray:
+def log_probs(model: Model, units: np.ndarray, ends: np.ndarray, block: int = 8192) -> np.ndarray:
     """Natural log of P(unit | context) of every token, normalised."""
     before, out = contexts(units, ends), np.empty(len(units))
     for at in range(0, len(units), block):
         part = slice(at, at + block)
-        h = hidden(model, before[:, part])
-        c, u = units[part] // PER_CLASS, units[part] % PER_CLASS
-        own = _log_softmax_at(h @ model.class_vec.T + model.class_bias, c)
-        order = np.argsort(c, kind="stable")
-        cuts = np.searchsorted(c[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            rows = order[cuts[k] : cuts[k + 1]]
-            if len(rows):
-                own[rows] += _log_softmax_at(h[rows] @ model.unit_vec[k].T + model.unit_bias[k], u[rows])
-        out[part] = own
+        h, own = hidden(model, before[:, part]), units[part]
+        logs = _log_softmax_at(h @ model.class_vec.T + model.class_bias, own // PER_CLASS)
+        order, cuts = by_class(own)
+        inside, h, found = (own % PER_CLASS)[order], h.take(order, 0), np.empty(len(own), dtype=np.float32)
+        for k in np.flatnonzero(np.diff(cuts)):
+            rows = slice(cuts[k], cuts[k + 1])
+            found[rows] = _log_softmax_at(h[rows] @ model.unit_vec[k].T + model.unit_bias[k], inside[rows])
+        logs[order] += found
+        out[part] = logs
     return out
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = DICTIONARY, trainers: int = TRAINERS, passes: int = PASSES, per: int = DOCS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = DICTIONARY, passes: int = PASSES) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     slim = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"), held_out(docs[id_col]).alias("held_out"))
     counts = materialize(count_words(slim.where(~F.col("held_out"))), "lm-counts")
-    model = train(slim.where(~F.col("held_out")), dictionary(counts, most), trainers, passes, per)
+    model = train(slim.where(~F.col("held_out")), dictionary(counts, most), passes)
     held = spark.sparkContext.broadcast(model)
     rows = slim.withColumn("row", F.monotonically_increasing_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
-        units = Units(own)
-        known = dict(zip(own.words, np.log10(own.counts + 1.0).tolist()))
+        words = numbers(own)
         share_of = np.log10(own.bucket_count + own.bucket_types + 1.0)
         base_of = np.log10(float(own.total + own.types + 1))
         for whole in batches:
             for at in range(0, whole.num_rows, 128):
                 batch = whole.slice(at, 128)
                 flat, n = flattened(batch.column("text").to_pylist())
-                found = np.fromiter(map(units.__getitem__, flat), dtype=np.int32, count=len(flat))
-                logs10 = np.fromiter(map(known.get, flat, repeat(np.nan)), dtype=np.float64, count=len(flat))
+                found = words.of(flat)
+                units, logs10 = words.unit[found], words.log[found]
                 ends = np.cumsum(n)
-                first, unseen = ends - n, np.isnan(logs10)
-                logs10[unseen] = 0.0
-                logs = log_probs(own, found, ends) / np.log(10.0)
-                rare = found >= COMMON
-                logs[rare] += logs10[rare] - share_of[found[rare] - COMMON]
+                first, unseen = ends - n, found >= words.beyond
+                logs = log_probs(own, units, ends) / np.log(10.0)
+                rare = units >= COMMON
+                logs[rare] += logs10[rare] - share_of[units[rare] - COMMON]
                 sums = lambda x: np.add.reduceat(x, first)
                 places = np.flatnonzero(unseen)
-                tails = pa.ListArray.from_arrays(pa.array(np.searchsorted(places, np.r_[0, ends]).astype(np.int32)), pa.array([flat[i] for i in places], pa.binary()))
+                tails = pa.ListArray.from_arrays(pa.array(np.searchsorted(places, np.r_[0, ends]).astype(np.int32)), pa.array([flat[i] for i in places.tolist()], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), batch.column("id"), batch.column("held_out"), pa.array(n, pa.int64()), pa.array(n - sums(unseen.astype(np.int64)), pa.int64()), pa.array(sums(logs10) - n * base_of), pa.array(sums(logs)), tails],
+                    [batch.column("row"), batch.column("id"), batch.column("held_out"), pa.array(n, pa.int64()), pa.array(sums((logs10 > 0).astype(np.int64)), pa.int64()), pa.array(sums(logs10) - n * base_of), pa.array(sums(logs)), tails],
                     ["row", "id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail"],
                 )
 

@@ -15,6 +15,8 @@ empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, text_of
 
-LENGTH, END, GROUP = 4096, 2, 1024
+LENGTH, END, GROUP = 4096, 2, 3_000_000
 
 
 class Tournament:
@@ -68,46 +70,90 @@ def pieces(lengths: list[int], capacity: int) -> list[tuple[int, int, int]]:
     return [(d, at, min(capacity, n - at)) for d, n in enumerate(lengths) for at in range(0, n, capacity)]
 
 
+#: Letters alone, then marks alone: the tokenizer parts these, so each has ids of its own.
+PLAIN = re.compile("([a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+
+
 class Ids:
     """Token ids of texts by a tokenizer file.
 
-    White space ends tokens in this vocabulary, so a text's ids are those of its
-    words, and words repeat. The ids of the first ``most`` words met are kept,
-    among them all common ones; other words are encoded as they come.
+    White space ends tokens in this vocabulary and case is dropped, so a text's
+    ids are those of its lower-case words, and words repeat. The ids of the
+    first ``most`` words met are kept, among them all common ones; other words
+    are encoded as they come, those of letters many at a time: in a run of such
+    words each ends at an id that the vocabulary marks as a word's end. A text
+    that holds an added token, in any case, is encoded as a whole.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
         self.most = most
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.final = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+        self.final[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(e.ids, dtype="<u4")
+
+    def plain(self, words: list[str], run: int = 256) -> Iterator[bytes]:
+        """Ids of words of letters alone, encoded ``run`` at a time."""
+        for at in range(0, len(words), run):
+            part = words[at : at + run]
+            ids = next(self.encode([" ".join(part)]))
+            ends = (np.flatnonzero(self.final[ids]) + 1).tolist()
+            if len(ends) != len(part):  # not a vocabulary of such ends
+                yield from (x.tobytes() for x in self.encode(part))
+                continue
+            whole, first = ids.tobytes(), 0
+            for last in ends:
+                yield whole[4 * first : 4 * last]
+                first = last
 
-    def encoded(self, words: list[bytes]) -> Iterator[bytes]:
-        for i in range(0, len(words), 4096):
-            for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False):
-                yield array("I", e.ids).tobytes()
+    def fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of different words that are not kept yet."""
+        found = [(w, PLAIN.fullmatch(w.decode())) for w in words]
+        other = [w for w, m in found if not m]
+        out = dict(zip(other, (x.tobytes() for x in self.encode([w.decode() for w in other]))))
+        cores = {m[1]: m[1].encode() for _, m in found if m}
+        new = [c for c, b in cores.items() if b not in self.known]
+        made = dict(zip(new, self.plain(new)))
+        tails = list({m[2] for _, m in found if m and m[2]})
+        marks = dict(zip(tails, (x.tobytes() for x in self.encode(tails))))
+        marks[""] = b""
+        for w, m in found:
+            if m:
+                core = made.get(m[1])
+                out[w] = (self.known[cores[m[1]]] if core is None else core) + marks[m[2]]
+        return out
 
     def of(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Each text's ids, with the end token."""
         end = array("I", [END]).tobytes()
         for at in range(0, len(texts), 64):
-            words, ends = [], []
-            for text in texts[at : at + 64]:
-                words += text.encode().split()
+            words, ends, whole = [], [], {}
+            for i, text in enumerate(texts[at : at + 64]):
+                lower = text.encode().lower()
+                if any(a in lower for a in self.added):
+                    whole[i] = next(self.encode([text])).tobytes()
+                else:
+                    words += lower.split()
                 ends.append(len(words))
             parts = list(map(self.known.get, words))
             if None in parts:
                 places = [i for i, p in enumerate(parts) if p is None]
-                new = list({words[i] for i in places})
-                fresh = dict(zip(new, self.encoded(new)))
+                fresh = self.fresh(list({words[i] for i in places}))
                 for i in places:
                     parts[i] = fresh[words[i]]
                 if len(self.known) + len(fresh) <= self.most:
                     self.known.update(fresh)
             first = 0
-            for last in ends:
-                yield np.frombuffer(b"".join(parts[first:last]) + end, dtype="<u4")
+            for i, last in enumerate(ends):
+                yield np.frombuffer((whole[i] if i in whole else b"".join(parts[first:last])) + end, dtype="<u4")
                 first = last
 
 
@@ -127,14 +173,15 @@ SCHEMA = "id {id}, start long, length long, ids binary, doc_tokens long, sequenc
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, group: int = GROUP, seed: int = 0, digests: bool = False) -> DataFrame:
     """One row per piece: id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
-    ``tokenizer`` is a file that every executor has. ``group`` is how many
-    documents a group has on average. With ``digests`` the pieces' ids are
-    given as their CRC-32 instead, so that they needn't leave the task.
+    ``tokenizer`` is a file that every executor has. ``group`` is how many bytes
+    of text a group has on average. With ``digests`` the pieces' ids are given
+    as their CRC-32 instead, so that they needn't leave the task.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     written = materialize(slim.withColumn("row", F.monotonically_increasing_id()), "pack-rows")
-    groups = max(1, -(-written.count() // group))
+    weight = written.select(F.sum(F.octet_length("text") + 8).alias("bytes")).first()["bytes"] or 0
+    groups = max(1, -(-weight // group))
     dealt = written.select("id", "text", F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(groups)).alias("bin"))
     schema = SCHEMA.format(id=kind).replace("ids binary", "ids_crc32 long" if digests else "ids binary")
 

@@ -1,6 +1,7 @@
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 from test_dedup import exact_by_hand, near_by_hand
@@ -12,21 +13,25 @@ from pagewright.llm.common import materialize
 SF = "/root/testdata/sf0.001"
 
 
-def kneser_ney_by_hand(texts, letters):
-    """Probabilities of 4-grams of classes, by the textbook, from plain dictionaries."""
-    coder = quality_classifier.Coder(letters)
-    code = lambda c: int(coder.table[ord(c)])
+def seen_by_model(text):
+    """The characters that the model sees, after three spaces."""
+    out = "   "
+    for c in text:
+        c = " " if c in " \t\n\v\f\r" else "0" if c in "0123456789" else c
+        if c != " " or out[-1] != " ":
+            out += c
+    return out
+
+
+def kneser_ney_by_hand(texts):
+    """Probabilities of 4-grams of characters, by the textbook, from plain dictionaries."""
     counts = [Counter()]
     for t in texts:
-        s = [0, 0, 0]
-        for c in t:
-            if code(c) or s[-1] or len(s) == 3 and code(c):
-                s.append(code(c))
-        for i in range(3, len(s)):
-            counts[0][tuple(s[i - 3 : i + 1])] += 1
+        s = seen_by_model(t)
+        counts[0].update(s[i - 3 : i + 1] for i in range(3, len(s)))
     for _ in range(3):
         counts.append(Counter(g[1:] for g in counts[-1]))
-    levels = []
+    letters, levels = len(counts[-1]) + 1, []
     for c in reversed(counts):
         n = [sum(v == i for v in c.values()) for i in range(1, 5)]
         y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
@@ -39,7 +44,7 @@ def kneser_ney_by_hand(texts, letters):
 
     def p(g):
         if not g:
-            return 1 / 64
+            return 1 / letters
         c, d, total, freed = levels[len(g) - 1]
         back = p(g[1:])
         if not total[g[:-1]]:
@@ -47,17 +52,31 @@ def kneser_ney_by_hand(texts, letters):
         v = c.get(g, 0)
         return (max(0, v - d[min(v, 3) - 1]) if v else 0) / total[g[:-1]] + freed[g[:-1]] / total[g[:-1]] * back
 
-    return p
+    return p, set(counts[-1])
+
+
+TEXTS = ["the cat sat on the mat. and the rat sat", " a hat  and a bat,\n\nand that 12 34", "thin things think", "日本語の文 и ещё слова", "x"]
 
 
 def test_model_against_the_textbook(spark):
-    texts = ["the cat sat on the mat. and the rat sat", "a hat and a bat, and that", "thin things think"]
-    m = quality_classifier.train(spark.createDataFrame([(t,) for t in texts], "text string"))
-    p, coder = kneser_ney_by_hand(texts, m.letters), quality_classifier.Coder(m.letters)
-    for t in [*texts, "the zebra"]:
-        for gram in coder.grams(t).tolist():
-            classes = tuple((gram >> (6 * i)) & 63 for i in (3, 2, 1, 0))
-            assert math.isclose(float(m.table()[gram]), math.log10(p(classes)), abs_tol=0.01)
+    """Every character has its own class, whatever its script; what was never seen has the rest."""
+    m = quality_classifier.train(spark.createDataFrame([(t,) for t in TEXTS], "text string"))
+    p, letters = kneser_ney_by_hand(TEXTS)
+    for t in [*TEXTS, "the zebra", "日文の", "", "  ", "й\U0001f600 q9", "abc" * 50]:
+        s = seen_by_model(t)
+        want = [math.log10(p(s[i - 3 : i + 1])) for i in range(3, len(s))]
+        got = m.log10_p(t)
+        assert len(got) == len(want) and all(math.isclose(g, w, abs_tol=1e-6) for g, w in zip(got, want))
+    for history in ("the", "語の文", "zzz", "   "):
+        total = sum(p(history + c) for c in letters) + p(history + "\U0001f600")
+        assert math.isclose(total, 1, abs_tol=1e-9)
+
+
+def test_model_of_nothing_and_blocks(spark):
+    none = spark.createDataFrame([], "text string")
+    assert quality_classifier.train(none).log10_p("ab").tolist() == [0.0, 0.0]
+    t = quality_classifier.Table(np.array([7, 1 << 63, 9], dtype=np.uint64), np.array([1.0, 2.0, 3.0]))
+    assert t.find(np.array([9, 8, 7, 1 << 63, 0], dtype=np.uint64)).tolist() == [1, -1, 0, 2, -1]
 
 
 def test_stages_against_brute_force(spark):
