@@ -24,6 +24,8 @@ from .common import drop_path, materialize, shared_path, stripped
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BROADCAST_ROWS = 500_000
+#: What all state stores of an executor may hold in memory together, and one store's write buffer.
+STATE_MB, WRITE_BUFFER_MB = 256, 4
 
 
 def sha256(normalised: Column) -> Column:
@@ -43,7 +45,14 @@ def digest_state(spark, store: str, schema, max_files: int | None = None) -> Dat
     """
     log, checkpoint = shared_path(spark, "dedup-state"), shared_path(spark, "dedup-stream")
     rocks = "spark.sql.streaming.stateStore.rocksdb"
-    names = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, f"{rocks}.changelogCheckpointing.enabled": "true", f"{rocks}.allowFAllocate": "false"}
+    names = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        f"{rocks}.changelogCheckpointing.enabled": "true",
+        f"{rocks}.allowFAllocate": "false",
+        f"{rocks}.boundedMemoryUsage": "true",  # else each partition's store has buffers of its own, and an executor has many
+        f"{rocks}.maxMemoryUsageMB": str(STATE_MB),
+        f"{rocks}.writeBufferSizeMB": str(WRITE_BUFFER_MB),
+    }
     before = {k: spark.conf.get(k, None) for k in names}
     for k, v in names.items():
         spark.conf.set(k, v)
