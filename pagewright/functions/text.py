@@ -64,14 +64,20 @@ def shortened(text: Column, most: int) -> Column:
     return F.when(F.char_length(text) > most, F.concat(F.rtrim(F.left(text, F.lit(most - 3))), F.lit("..."))).otherwise(text)
 
 
+def cleaned(text: Column) -> Column:
+    """Word characters of any script, dots and dashes; all else becomes one underscore. Nothing left is ``article``."""
+    one = F.regexp_replace(text, r"(?U)[^\w.-]+", "_")
+    one = F.regexp_replace(F.regexp_replace(one, r"^[._]+|[._]+$", ""), "_+", "_")
+    return F.when(one == "", "article").otherwise(one)
+
+
 def slug(text: Column, most: int = 80) -> Column:
-    """Word characters, dots and dashes; all else becomes one underscore."""
-    return F.left(F.regexp_replace(F.regexp_replace(text, "[^A-Za-z0-9_.-]+", "_"), "^_+|_+$", ""), F.lit(most))
+    return F.left(cleaned(text), F.lit(most))
 
 
 def stable_slug(text: Column, most: int = 24) -> Column:
     """A slug that, where it is cut, ends in a hash of the whole."""
-    whole = F.regexp_replace(F.regexp_replace(text, "[^A-Za-z0-9_.-]+", "_"), "^_+|_+$", "")
+    whole = cleaned(text)
     return F.when(F.char_length(whole) <= most, whole).otherwise(F.concat(F.left(whole, F.lit(most - 9)), F.lit("_"), F.left(F.sha1(F.encode(whole, "UTF-8")), F.lit(8))))
 
 

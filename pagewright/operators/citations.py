@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # What a citation looks like in each style.
-PAREN = r"\(\s*\d{1,3}(?:\s*[,;–-]\s*\d{1,3})*\s*\)"
-BRACKET = r"\[\s*\d{1,3}(?:\s*[,;–-]\s*\d{1,3})*\s*\]"
+PAREN = r"\(\s*\d{1,3}(?:\s*[,;–—-]\s*\d{1,3}){0,12}\s*\)"
+BRACKET = r"\[\s*\d{1,3}(?:\s*[,;–—-]\s*\d{1,3}){0,12}\s*\]"
+# Superscripts that became plain text: numbers between the end of a sentence and the next one's capital.
+FLAT_SUPER = r"[.!?]\s+\d{1,3}(?:\s*[,;–—-]\s*\d{1,3}){1,12}\s+[A-Z]"
 AUTHOR_YEAR = r"\b[A-Z][A-Za-z'-]+(?:\s+(?:et\s+al\.?|(?:and|&)\s+[A-Z][A-Za-z'-]+))?,?\s+\(?(?:19|20)\d{2}[a-z]?\b"
 
 # The cascade of styles; the first that holds counts. SQL over the counts.
@@ -15,6 +17,7 @@ STYLES: tuple[tuple[str, str, str], ...] = (
     ("author_hint >= 5 AND author_hint >= greatest(5, signal * 2)", "author_year", "high"),
     ("NOT paired AND author_year >= 8 AND author_year >= greatest(8, signal * 2)", "author_year", "medium"),
     ("greatest(ref_links, numbered) >= 5 AND super_hint >= greatest(5, bracket * 2, floor((paren + 1) / 2))", "superscript_numeric", "high"),
+    ("flat_super >= greatest(5, paren * 2, bracket * 2)", "superscript_numeric", "high"),
     ("ref_links >= 5 AND paren >= greatest(5, bracket * 2)", "paren_numeric", "high"),
     ("bracket >= 5 AND bracket >= greatest(5, paren * 2)", "bracket_numeric", "medium"),
     ("super_hint >= 5 AND super_hint > greatest(paren, bracket)", "superscript_numeric", "medium"),
@@ -33,8 +36,8 @@ def styles(df: DataFrame, keys: list[str], text: Column, hints: dict[str, Column
     hints = hints or {}
     n = lambda p: F.regexp_count(text, F.lit(p)).cast("long")
     hint = lambda k: hints.get(k, F.lit(0)).cast("long").alias(k)
-    counted = df.select(*keys, n(PAREN).alias("paren"), n(BRACKET).alias("bracket"), n(AUTHOR_YEAR).alias("author_year"), *[hint(k) for k in ("ref_links", "super_hint", "author_hint", "structure", "numbered")])
-    wide = counted.select("*", F.greatest("paren", "bracket", "super_hint", "structure", "numbered").alias("signal"), ((F.col("numbered") >= 5) & ((F.col("super_hint") >= 5) | (F.col("bracket") >= 5))).alias("paired"))
+    counted = df.select(*keys, n(PAREN).alias("paren"), n(BRACKET).alias("bracket"), n(AUTHOR_YEAR).alias("author_year"), n(FLAT_SUPER).alias("flat_super"), *[hint(k) for k in ("ref_links", "super_hint", "author_hint", "structure", "numbered")])
+    wide = counted.select("*", F.greatest("paren", "bracket", "flat_super", "super_hint", "structure", "numbered").alias("signal"), ((F.col("numbered") >= 5) & ((F.col("super_hint") >= 5) | (F.col("bracket") >= 5))).alias("paired"))
     return wide.select(*keys, F.expr(style_case(1)).alias("style"), F.expr(style_case(2)).alias("confidence"), "paren", "bracket", "author_year")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def problem_state(runs: Column, articles: Column, occurrences: Column) -> Column:
-    return F.when((runs >= 2) | (articles >= 2) | (occurrences >= 3), "problem_candidate").otherwise("observation")
+    return F.when((runs >= 2) | (articles >= 2) | (occurrences >= 3), "problem_candidate").otherwise("pattern_observation")
 
 
 def latest(ledger: DataFrame, key: str, at: str, line: str) -> DataFrame:

@@ -65,8 +65,7 @@ def tex_text(c: Column) -> Column:
 #: The phases in order; a phase's repairs in order.
 PHASES: dict[str, tuple[Repair, ...]] = {
     "pre_cleanup": (
-        guarded("â€", mojibake),
-        guarded("Ã", mojibake),
+        *(guarded(mark, to_fixpoint(mojibake)) for mark in ("â€", "Ã", "Â")),
         sub(r"(?i)<\s*(/?)\s*(sup|sub)\s*>", "<$1$2>"),
         sub(r"(?i)&lt;(/?(?:sup|sub))&gt;", "<$1>"),
         sub(r"(?is)<p\b[^>]*>\s*page\s+\d+\s+of\s+\d+\s*</p>", ""),

@@ -85,7 +85,10 @@ def title_candidates(fragments: DataFrame, titles: DataFrame, fragment_id: str,
     words = lambda c: F.filter(F.split(title_key(c), " "), lambda w: F.char_length(w) >= 4)
     f = fragments.select(F.col(fragment_id).alias("f"), words(F.col(text)).alias("fw")).where(F.size("fw") >= least)
     t = titles.select(F.col(title_id).alias("t"), words(F.col(text)).alias("tw"))
-    shared = f.select("f", F.explode(F.array_distinct("fw")).alias("w")).join(t.select("t", F.explode(F.array_distinct("tw")).alias("w")), "w").groupBy("f", "t").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    needed = F.greatest(F.lit(least), F.lit(share) * F.size("fw")).alias("needed")
+    counted = f.select("f", needed, F.explode("fw").alias("w")).groupBy("f", "needed", "w").agg(F.count("*").alias("times"))
+    met = counted.join(t.select("t", F.explode(F.array_distinct("tw")).alias("w")), "w")
+    shared = met.groupBy("f", "needed", "t").agg(F.sum("times").alias("n")).where(F.col("n") >= F.col("needed"))  # no title with fewer can pass
     pairs = shared.select("f", "t").join(f, "f").join(t, "t")
     start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
 

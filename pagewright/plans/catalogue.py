@@ -243,7 +243,7 @@ def manual_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT event_type, count(*) AS occurrences, count(DISTINCT ts::DATE) AS runs, count(DISTINCT user_id) AS articles, min(ts) AS first_seen, max(ts) AS last_seen,
-    CASE WHEN count(DISTINCT ts::DATE) >= 2 OR count(DISTINCT user_id) >= 2 OR count(*) >= 3 THEN 'problem_candidate' ELSE 'observation' END AS state FROM events GROUP BY event_type""")
+    CASE WHEN count(DISTINCT ts::DATE) >= 2 OR count(DISTINCT user_id) >= 2 OR count(*) >= 3 THEN 'problem_candidate' ELSE 'pattern_observation' END AS state FROM events GROUP BY event_type""")
 def pattern_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("run", F.to_date("ts"))
     return ledgers.pattern_history(events, "event_type", "run", "user_id", "ts")
@@ -313,7 +313,7 @@ def shared_identity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.shared_identities(docs, "source", F.sha2(F.encode("text", "UTF-8"), 256), "doc_id")
 
 
-_SLUG = "trim(regexp_replace(p_name || ' ' || p_type || '/' || p_brand, '[^A-Za-z0-9_.-]+', '_', 'g'), '_')"
+_SLUG = "regexp_replace(trim(regexp_replace(p_name || ' ' || p_type || '/' || p_brand, '[^\\p{L}\\p{N}_.-]+', '_', 'g'), '._'), '_+', '_', 'g')"
 
 
 @query(f"SELECT p_partkey, CASE WHEN length({_SLUG}) <= 24 THEN {_SLUG} ELSE {_SLUG}[1:15] || '_' || sha1({_SLUG})[1:8] END AS slug FROM part")
@@ -417,7 +417,7 @@ def email_split_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- citations, references, audits, repairs -----------------------------------------------------------------
 
-_CITED_TEXT = "text || CASE doc_id % 4 WHEN 0 THEN repeat(' as shown [1-3] and [7].', 6) WHEN 1 THEN repeat(' as seen (4, 5).', 6) WHEN 2 THEN repeat(' Smith et al., 2010 found it.', 9) ELSE '' END"
+_CITED_TEXT = "text || CASE doc_id % 5 WHEN 0 THEN repeat(' as shown [1-3] and [7].', 6) WHEN 1 THEN repeat(' as seen (4, 5).', 6) WHEN 2 THEN repeat(' Smith et al., 2010 found it.', 9) WHEN 3 THEN repeat(' It was seen. 1,2,3 Then it was lost', 6) ELSE '' END"
 
 
 def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,8 +427,8 @@ def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STYLE_SQL = f"""WITH c AS (SELECT doc_id, {_CITED_TEXT} AS text FROM documents),
     n AS (SELECT doc_id, len(regexp_extract_all(text, '{citations.PAREN}')) AS paren, len(regexp_extract_all(text, '{citations.BRACKET}')) AS bracket, len(regexp_extract_all(text, '{citations.AUTHOR_YEAR.replace("'", "''")}')) AS author_year,
-          0 AS ref_links, 0 AS super_hint, 0 AS author_hint, 0 AS structure, 0 AS numbered FROM c),
-    w AS (SELECT *, greatest(paren, bracket, super_hint, structure, numbered) AS signal, numbered >= 5 AND (super_hint >= 5 OR bracket >= 5) AS paired FROM n)
+          len(regexp_extract_all(text, '[.!?]\\s+[0-9]{{1,3}}(?:\\s*[,;–—-]\\s*[0-9]{{1,3}}){{1,12}}\\s+[A-Z]')) AS flat_super, 0 AS ref_links, 0 AS super_hint, 0 AS author_hint, 0 AS structure, 0 AS numbered FROM c),
+    w AS (SELECT *, greatest(paren, bracket, flat_super, super_hint, structure, numbered) AS signal, numbered >= 5 AND (super_hint >= 5 OR bracket >= 5) AS paired FROM n)
     SELECT doc_id, {citations.style_case(1)} AS style, {citations.style_case(2)} AS confidence, paren, bracket, author_year FROM w"""
 
 
@@ -555,10 +555,10 @@ def resolver_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- runs ---------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT doc_id, source, place FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY source) AS n FROM (SELECT doc_id, 0 AS source, doc_id AS place FROM labels WHERE quality = 0 UNION ALL SELECT doc_id, 1, doc_id FROM labels WHERE toxic = 1 UNION ALL SELECT doc_id, 2, n_chars FROM documents WHERE doc_id % 10 = 0)) WHERE n = 1""")
+@query("""SELECT doc_id, source, place FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY source) AS n FROM (SELECT doc_id, 0 AS source, doc_id AS place FROM labels WHERE quality = 0 UNION ALL SELECT doc_id, 1, doc_id FROM labels WHERE toxic = 1 UNION ALL SELECT doc_id, 2, n_chars FROM documents)) WHERE n = 1""")
 def select_article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").withColumn("place", F.col("doc_id"))
-    docs = table(spark, sf_dir, "documents").where("doc_id % 10 = 0").withColumn("place", F.col("n_chars"))
+    docs = table(spark, sf_dir, "documents").withColumn("place", F.col("n_chars"))
     return runs.ordered_union([labels.where("quality = 0"), labels.where("toxic = 1"), docs], "doc_id", "place")
 
 
@@ -599,7 +599,7 @@ def cached_source_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def title_match_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 120).alias("text"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
     return runs.title_candidates(items, table(spark, sf_dir, "documents"), "item_id", "doc_id", "text")
 
 

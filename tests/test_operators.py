@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from pagewright.functions import language, ocr, text
-from pagewright.operators import history, ledgers, matching, pages, sequences, trees
+from pagewright.operators import citations, history, ledgers, matching, pages, repairs, sequences, trees
 from pagewright.sources import readers, writers
 from pagewright.streaming import ledger
 
@@ -203,3 +203,16 @@ def test_runs(spark):
     f = spark.createDataFrame([(1, "alpha bravo charlie delta echoes foxtrot golfing")], "f long, text string")
     t = spark.createDataFrame([(1, "the alpha bravo charlie delta echoes foxtrot golfing hotel"), (2, "golfing foxtrot echoes delta charlie bravo alpha")], "t long, text string")
     assert [(r["t"], r["score"]) for r in runs.title_candidates(f, t, "f", "t", "text").collect()] == [(1, 1.0)]
+
+
+def test_superscripts_that_became_plain_text(spark):
+    cited = "It was seen. 1,2,3 Then it was lost. " * 6
+    r = citations.styles(spark.createDataFrame([(1, cited)], "id int, text string"), ["id"], F.col("text")).first()
+    assert (r["style"], r["confidence"], r["paren"], r["bracket"]) == ("superscript_numeric", "high", 0, 0)
+
+
+def test_wrongly_decoded_degrees_and_slugs_of_any_script(spark):
+    r = spark.createDataFrame([("20 Â°C", "Об одной: статье.", "?!")], "a string, b string, c string")
+    r = r.select(F.col("a").alias("html"), text.slug(F.col("b")).alias("b"), text.slug(F.col("c")).alias("c"))
+    r = repairs.polish(r, "html").first()
+    assert (r["polished"], r["b"], r["c"]) == ("20 °C", "Об_одной_статье", "article")
