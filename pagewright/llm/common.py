@@ -73,23 +73,36 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(NOT_SPACE + "+"))
 
 
-def with_rank(df: DataFrame, out: str, order: list[Column], by: list[str] | None = None, rows: int = 20_000, total: int | None = None) -> DataFrame:
+def with_rank(df: DataFrame, out: str, order: list[Column], by: list[str] | None = None, rows: int = 20_000, total: int | None = None, run: Column | None = None, parts: Column | None = None) -> DataFrame:
     """Number the rows from 0 without gaps (within ``by``), in an order that is fixed but arbitrary.
 
     Rows are dealt to buckets by a hash of ``order``; each bucket is numbered
     on its own and shifted by the sizes of the buckets before it, so that no
     task ever holds more than a bucket. Equal keys may share a bucket: only
     rows that repeat whole keys do.
+
+    With ``run``, a hash as a long, rows are numbered in its order at every
+    size: a bucket is a range of it, and ``order`` begins with it. A run of more
+    than ``rows`` rows needs ``parts`` above 1, by which its rows are split.
     """
     by = by or []
     total = df.count() if total is None else total
     buckets = max(1, -(-total // rows))
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    sizes = df.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
+    dealt = F.xxhash64(*order)
+    if run is None:
+        bucket, part = F.pmod(dealt, F.lit(buckets)), F.lit(0).cast("long")
+    else:
+        share = run.cast("double") / F.lit(2.0**64) + F.lit(0.5)
+        bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("long")
+        part = F.pmod(dealt, F.coalesce(parts, F.lit(1)).cast("long")) if parts is not None else F.lit(0).cast("long")
+    df = df.withColumn("_bucket", bucket).withColumn("_part", part)
+    keys = [*by, "_bucket", "_part"]
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    sizes = sizes.select(*by, "_bucket", (F.sum("_n").over(before.orderBy("_bucket")) - F.col("_n")).alias("_before"))
-    own = Window.partitionBy(*by, "_bucket").orderBy(*order)
+    sizes = sizes.select(*keys, (F.sum("_n").over(before.orderBy("_bucket", "_part")) - F.col("_n")).alias("_before"))
+    own = Window.partitionBy(*keys).orderBy(*order)
     numbered = df.withColumn("_at", F.row_number().over(own) - 1)
-    on = [numbered[c].eqNullSafe(sizes[c]) for c in [*by, "_bucket"]]
+    on = [numbered[c].eqNullSafe(sizes[c]) for c in keys]
     joined = numbered.join(sizes, on, "left")
-    return joined.select(*[numbered[c] for c in df.columns if c != "_bucket"], (F.col("_at") + F.col("_before")).alias(out))
+    own_columns = [numbered[c] for c in df.columns if c not in ("_bucket", "_part")]
+    return joined.select(*own_columns, (F.col("_at") + F.col("_before")).alias(out))

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pagewright.llm import language_model, mixing, packing, preferences, quality_classifier, sharding
@@ -311,3 +312,22 @@ def test_pipeline_stages(spark):
         sizes.append(kept.count())
     assert sizes[0] > 0.6 * docs.count() and sizes[0] >= sizes[1] >= sizes[2]
     assert QUERIES
+
+
+def test_cut_is_the_same_in_many_buckets(docs):
+    """Every row is linked, so no shard has room to spare; ranking in buckets of 20 rows cuts what one bucket cuts, and far less than a deal by hash."""
+    copies = docs.withColumn("text", F.concat(F.lit("copy "), F.floor(F.row_number().over(Window.orderBy("doc_id")) / 4).cast("string")))
+    cuts = []
+    for hot in (20, 20_000):
+        found = sharding.shard_documents(copies, F.md5("text"), 4, hot=hot)
+        spread = defaultdict(Counter)
+        for r in found.collect():
+            spread[r["link"]][r["shard"]] += 1
+        links = [c for c in spread.values() if sum(c.values()) > 1]
+        cuts.append((sum(sum(c.values()) for c in links), sum(sum(c.values()) - max(c.values()) for c in links)))
+        assert tuple(sharding.cut_rows(found).collect()[0]) == cuts[-1]
+    by_hash = defaultdict(Counter)
+    for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("s")).collect():
+        by_hash[(r["doc_id"] + 1) // 4][r["s"]] += 1
+    chance = sum(sum(c.values()) - max(c.values()) for c in by_hash.values())
+    assert cuts[0] == cuts[1] and cuts[0][1] <= chance / 2
