@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_model, mixing, near_dedup, packing, personal_data, preferences, quality_classifier, quality_rules, sharding
+from . import conversation_repair, exact_dedup, filter_audit, language_model, mixing, near_dedup, packing, personal_data, preferences, quality_classifier, quality_rules, sharding, substring_dedup
 from .common import stripped, text_of
 
 
@@ -72,13 +72,58 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")), copies="copies")
+    digest = F.sha2(F.encode(conversation_repair.transcript(F.col("repaired")), "UTF-8"), 256)
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", digest.alias("repaired_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), digests=True).withColumnRenamed("kept", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_model, op2_preferences, op3_personal_data, op4_exact_dedup, op5_packing, op6_mixing, op7_quality_rules, op8_quality_classifier, op9_near_dedup, op10_sharding)
+    for f in (op1_language_model, op2_preferences, op3_personal_data, op4_exact_dedup, op5_packing, op6_mixing, op7_quality_rules, op8_quality_classifier, op9_near_dedup, op10_sharding, op11_conversation_repair, op12_filter_audit, op13_substring_dedup)
 }
 
 WHITE = "[\\x20\\x09-\\x0D]"
 
+
+def repair_sql() -> str:
+    """The cheapest edits as a recursion over rows from the last to the first, with the least (cost, audit, lines) of each state."""
+    then, role = {0: 2, 1: 2, 2: 3, 3: 2}, {2: "user", 3: "assistant"}
+    kept = {0: "CASE ini WHEN 's' THEN v1 WHEN 'u' THEN v2 ELSE never END", 1: "CASE ini WHEN 'u' THEN v2 ELSE never END", 2: "CASE ini WHEN 'a' THEN v3 ELSE never END", 3: "CASE ini WHEN 'u' THEN v2 ELSE never END"}
+    edit = lambda before, cost, name, lines: f"{{'c': ({before}).c + {cost}, 'a': '{name}' || ({before}).a, 't': {lines} || ({before}).t}}"
+    stay = "CASE WHEN fault IN ('b', 'd') THEN 1000000 WHEN fault = 't' THEN {0} + 1 ELSE {0} END"
+    used = lambda s: "list_sort([" + ", ".join((edit(f"v{s}", 3, "D", "[]::VARCHAR[]"), edit(f"v{then[s]}", stay.format(2), "R", f"['{role[then[s]]}:' || text]"), edit(kept[s], stay.format(0), "K", "[role || ':' || text]"))) + f"])[1] AS g{s}"
+    def added(s: int) -> str:
+        a, b = then[s], then[then[s]]
+        return f"list_sort([g{s}, {edit(f'g{a}', 2, 'I', f"['{role[a]}:']")}, {edit(f'g{b}', 4, 'II', f"['{role[a]}:', '{role[b]}:']")}])[1] AS v{s}"
+    done, never = "{'c': 0, 'a': '', 't': []::VARCHAR[]}", "{'c': 1000000, 'a': '', 't': []::VARCHAR[]}"
+    states = range(4)
+    return f"""
+        WITH RECURSIVE
+             k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, [ascii(x)::BIGINT FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')] AS bytes FROM conversations),
+             c AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 20 AS code FROM k),
+             e AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM c),
+             f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen, left(role, 1) AS ini FROM e),
+             g AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b' WHEN seen THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 't' ELSE '' END AS fault, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM f),
+             s AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id),
+             a AS (SELECT o.conv_id, coalesce(s.n, 0) AS n, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN s ON o.conv_id IS NOT DISTINCT FROM s.conv_id),
+             r AS (
+                 SELECT conv_id, n + 1 AS i, {", ".join(added(s) for s in states)} FROM (SELECT conv_id, n, {done} AS g0, {never} AS g1, {never} AS g2, {done} AS g3 FROM a)
+                 UNION ALL
+                 SELECT conv_id, i, {", ".join(added(s) for s in states)} FROM (SELECT r.conv_id, g.i, {", ".join(used(s) for s in states)} FROM (SELECT *, {never} AS never FROM r) r JOIN g ON r.conv_id IS NOT DISTINCT FROM g.conv_id AND g.i = r.i - 1))
+        SELECT a.conv_id, gaps::BIGINT AS gaps, blank, duplicate, truncated, illegal, (r.v0).c::BIGINT AS cost, (r.v0).a AS audit, sha256(array_to_string((r.v0).t, chr(10))) AS repaired_sha256
+        FROM a JOIN r ON a.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = 1
+    """
+
+
 ORACLES: dict[str, str] = {
     "op2_preferences": """
         WITH l AS (SELECT conv_id, max(turn) AS e FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
@@ -126,4 +171,31 @@ ORACLES: dict[str, str] = {
                           + (CASE WHEN n_words >= 50 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words) THEN 16 ELSE 0 END) + (CASE WHEN n_words >= 10 AND 100 * caps > 60 * letters THEN 32 ELSE 0 END) AS more FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base > 0 AS base_failed, base + more = 0 AS kept, (base + more)::BIGINT AS failed_bits FROM b
     """,
+    "op11_conversation_repair": repair_sql(),
+    "op12_filter_audit": """
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+             w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+             l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+             f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                     [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > least, false)] AS bad
+                   FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+             x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+             o AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+             p AS (SELECT part, good, toxic, bad, o, coalesce(list_min(list_filter([1, 2, 3, 4, 5], lambda k: bad[strpos('ABCDE', o[k:k])])), 6) AS first FROM f, o),
+             s AS (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM p),
+             c AS (SELECT part, o AS filter_order, step, count(*) FILTER (first > step) AS kept, count(*) FILTER (first = step) AS removed,
+                     count(*) FILTER (first < step AND bad[strpos('ABCDE', o[step:step])]) AS redundant,
+                     count(*) FILTER (bad[strpos('ABCDE', o[step:step])] AND len(list_filter(bad, lambda b: b)) = 1) AS unique_fails,
+                     count(*) FILTER (first = step AND good) AS good_lost, count(*) FILTER (first = step AND toxic) AS toxic_lost FROM s GROUP BY part, o, step)
+        SELECT *, (sum(removed) OVER (PARTITION BY part, filter_order[step:step]))::BIGINT AS shapley FROM c
+    """,
+    "op13_substring_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+             g AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+             m AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY g) AS least FROM g) WHERE least < doc_id),
+             c AS (SELECT DISTINCT r, i + k AS i FROM m, (SELECT unnest(range(0, 13)) AS k)),
+             k AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+             l AS (SELECT k.r, string_agg(word, ' ' ORDER BY k.i) FILTER (c.i IS NULL) AS left_over, count(c.i) AS gone FROM k LEFT JOIN c ON k.r = c.r AND k.i = c.i GROUP BY k.r)
+        SELECT doc_id, len(w) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256 FROM d LEFT JOIN l ON d.r = l.r
+    """,
 }

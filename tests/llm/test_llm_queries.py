@@ -14,7 +14,7 @@ def rows(frame):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SF).toPandas(), con.execute(queries.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
@@ -22,4 +22,4 @@ def test_against_sql(spark, name):
 
 
 def test_each_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
