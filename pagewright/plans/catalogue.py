@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,27 +10,10 @@ from pyspark.sql import functions as F
 from pagewright.functions import language, ocr, text
 from pagewright.operators import audits, citations, defects, detectors, history, ledgers, matching, pages, repairs, runs, sequences, trees
 
-FLAGSHIP = "document_quality_ranking"
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from . import bibliography_queries, structure_queries  # noqa: F401  they register their queries
+from .registry import ORACLES, QUERIES, query, table
 
-
-def query(sql: str | None = None):
-    """Register a query under its function's name, with its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
+FLAGSHIP = "document_quality_ranking"
 
 
 # --- SQL that several oracles share -------------------------------------------------------------------------
