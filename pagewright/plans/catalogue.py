@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import language, ocr, text
 from pagewright.operators import audits, citations, defects, detectors, history, ledgers, matching, pages, repairs, runs, sequences, trees
 
-from . import bibliography_queries, structure_queries  # noqa: F401  they register their queries
+from . import bibliography_queries, repair_queries, structure_queries  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, query, table
 
 FLAGSHIP = "document_quality_ranking"
