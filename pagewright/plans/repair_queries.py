@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.operators import link_repairs
+from pagewright.operators import images, link_repairs, table_repairs
+from pagewright.sources import path_map, shared
+from pagewright.streaming import append_log
 
 from .registry import query, table
 
@@ -54,3 +56,85 @@ def autolinked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that begin with their own address and a DOI as plain text."""
     text = F.concat(F.lit("<p>At "), F.col("url"), F.lit(", doi: 10.1000/x"), F.col("page_id").cast("string"), F.lit('. <a href="u">www.example.org</a></p>'), F.col("html"))
     return table(spark, sf_dir, "pages").select("page_id", F.md5(F.encode(link_repairs.autolinked(text), "UTF-8")).alias("html_md5"))
+
+
+# --- tables and images ---------------------------------------------------------------------------------------
+
+_CLEAN = "<tr><th>Study</th><th>Year of publication</th><th>Mean age</th></tr><tr><th>Author name</th><th>of it</th><th>in months</th></tr>"
+_BROKEN = "<tr><th>Study</th><th>Year of</th><th>publi</th><th>cation</th><th>Mean</th><th>age</th></tr><tr><th>{0}</th><th>of</th><th>it</th><th>in</th><th>mon</th><th>ths</th></tr>"
+_DATA = "<tr><td>P{0}</td><td>1</td><td>2</td><td>{1}</td></tr>"
+
+
+@query(f"""
+    WITH p AS (SELECT p_partkey, '{_DATA.replace("{0}", "' || p_partkey || '").replace("{1}", "' || p_size || '")}' AS data, '{_CLEAN}' AS clean, '{_BROKEN.replace("{0}", "' || CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE 'Author name' END || '")}' AS broken FROM part)
+    SELECT p_partkey, md5('<table>' || clean || data || CASE WHEN p_partkey % 3 = 0 THEN broken ELSE clean END || data || '</table>') AS html_md5 FROM p""")
+def mended_table_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of parts whose second header is in pieces; where its last label is another, it is another header and stays."""
+    put = lambda text, *values: _put(F.lit(text), values)
+    n = lambda c: F.col(c).cast("string")
+    data = put(_DATA, n("p_partkey"), n("p_size"))
+    broken = put(_BROKEN, F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise("Author name"))
+    html = F.concat(F.lit(f"<table>{_CLEAN}"), data, broken, data, F.lit("</table>"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.md5(F.encode(table_repairs.mended_headers(html), "UTF-8")).alias("html_md5"))
+
+
+def _put(text, values):
+    for i, v in enumerate(values):
+        text = F.replace(text, F.lit(f"{{{i}}}"), v)
+    return text
+
+
+@query("""
+    SELECT page_id, 5 AS image_count, 1 AS missing_count, 1 AS unsupported_count, (page_id % 2 + 1)::BIGINT AS broken_count, (1 + page_id % 2)::BIGINT AS skipped_count, 1 + page_id % 600 AS width, 1 + page_id % 90 AS height, (1 + page_id % 600 >= 500 AND 1 + page_id % 90 <= 96 AND (1 + page_id % 600)::DOUBLE / (1 + page_id % 90) >= 8)::BIGINT AS strips FROM pages WHERE page_id % 2 = 0
+    UNION ALL SELECT page_id, 5, 1, 1, 2, 2, NULL, NULL, 0 FROM pages WHERE page_id % 2 = 1""")
+def inline_image_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with five images: a PNG of a size that the page's number gives (cut off on odd pages), a broken one, and three others."""
+    number = lambda n: F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0"))
+    raw = lambda text: F.unhex(F.lit(text))
+    size = [1 + F.col("page_id") % 600, 1 + F.col("page_id") % 90]
+    png = F.concat(raw("89504E470D0A1A0A0000000D49484452"), number(size[0]), number(size[1]), raw("0802000000"), F.unhex(F.when(F.col("page_id") % 2 == 0, "0000000049454E44AE426082").otherwise("00000000")))
+    shown = F.concat(F.lit('<img src="data:image/png;base64,'), F.base64(png), F.when(F.col("page_id") % 2 == 1, F.lit('" data-z2m-inline-skip>')).otherwise(F.lit('">')))
+    more = F.lit('<img src="data:image/jpeg;base64,!!" data-z2m-inline-skip="x"><img alt="none"><img src="a/b.png"><IMG SRC=\'https://x.org/a.png\'>')
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(shown, more, "html").alias("html"))
+    found = images.inline_images(pages, "html").groupBy("page_id")
+    fault = F.col("state").isin("missing", "unsupported", "broken")
+    count = lambda c: F.count(F.when(c, 1))
+    counts = [count(F.col("state") == s).alias(f"{s}_count") for s in ("missing", "unsupported", "broken")]
+    whole = F.col("state") == "embedded"
+    return found.agg(F.count("*").alias("image_count"), *counts, count(fault & F.col("skipped")).alias("skipped_count"), F.max(F.when(whole, F.col("width"))).alias("width"), F.max(F.when(whole, F.col("height"))).alias("height"), count(whole & F.col("strip")).alias("strips"))
+
+
+# --- sources and logs ----------------------------------------------------------------------------------------
+
+
+@query("""SELECT doc_id::VARCHAR AS article, CASE doc_id % 7 WHEN 0 THEN 'p' || doc_id WHEN 1 THEN 'q' || doc_id WHEN 2 THEN source || '.pdf' WHEN 3 THEN 'e' || doc_id WHEN 4 THEN 'f' || doc_id WHEN 5 THEN 'deep' || doc_id END AS path FROM documents WHERE doc_id % 7 != 6""")
+def source_path_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths from records of seven shapes, one for each document."""
+    i = F.col("doc_id").cast("string")
+    shapes = [
+        F.concat(F.lit('"p'), i, F.lit('"')),
+        F.concat(F.lit('{"path": "no", "source_pdf_path": "q'), i, F.lit('", "pdf_path": ""}')),
+        F.concat(F.lit('{"pdf_path": 5, "path": "'), F.col("source"), F.lit('.pdf"}')),
+        F.concat(F.lit('{"fuzzy_matches": ["f"], "exact_matches": ["", {"path": "e'), i, F.lit('"}, "z"]}')),
+        F.concat(F.lit('{"matches": ["z"], "fuzzy_matches": [{"score": 1}, "f'), i, F.lit('"], "exact_matches": []}')),
+        F.concat(F.lit('{"matches": [[], [[{"pdf_path": "deep'), i, F.lit('"}]], "z"]}')),
+        F.lit('{"exact_matches": null, "size": 3}'),
+    ]
+    text = F.element_at(F.array(*shapes), (F.col("doc_id") % 7).cast("int") + 1)
+    records = table(spark, sf_dir, "documents").select(i.alias("article"), F.parse_json(text).alias("record"))
+    return path_map.record_paths(records, "article", "record")
+
+
+@query("""SELECT user_id, event_id, event_type, entries FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC, ts DESC) AS n, count(*) OVER (PARTITION BY user_id) AS entries FROM events) WHERE n = 1""")
+def appended_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended to a log by their numbers in four batches, one of them tried twice, and each user's last entry read back."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    last = events.agg(F.max("event_id").alias("n")).first()["n"] or 0
+    path = shared.shared_path(spark, "history")
+    for number in range(4):
+        part = F.floor(F.col("event_id") * 4 / (last + 1))
+        batch = events.where(F.least(part, F.lit(3)) == number).repartitionByRange("event_id").sortWithinPartitions("event_id")
+        for _ in range(1 + (number == 2)):
+            append_log.append(batch, path, number)
+    entries = append_log.read(spark, path, "user_id long, event_id long, event_type string")
+    return append_log.last_entry(entries, ["user_id"]).select("user_id", "event_id", "event_type", "entries")
