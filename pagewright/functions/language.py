@@ -136,3 +136,40 @@ def gate(language: Column, confidence: Column, target: str = "en", least: float
     )
 
 
+
+
+#: Other names of languages by their codes.
+LANGUAGE_NAMES = {
+    "en": "english eng en-us en-gb",
+    "ru": "russian rus ru-ru",
+    "de": "german deu ger de-de",
+    "fr": "french fra fre fr-fr",
+    "es": "spanish spa es-es",
+    "it": "italian ita it-it",
+    "pt": "portuguese por pt-br pt-pt",
+    "nl": "dutch nld dut nl-nl",
+    "pl": "polish pol pl-pl",
+    "ja": "japanese jpn ja-jp",
+    "zh": "chinese zho chi zh-cn zh-tw",
+}
+
+
+def normalized_code(value: Column) -> Column:
+    """A language's code from its name; a name that isn't known stays, in lower case. Null is empty."""
+    plain = F.lower(F.trim(F.coalesce(value, F.lit(""))))
+    names = F.create_map(*[F.lit(x) for code, names in LANGUAGE_NAMES.items() for name in names.split() for x in (name, code)])
+    return F.coalesce(names[plain], plain)
+
+
+def requested_polish_language(value: Column) -> Column:
+    """en, ru, other or auto; English if nothing is asked for."""
+    asked = F.lower(F.trim(F.when(value != "", value).otherwise("en")))
+    code = normalized_code(asked)
+    return F.when(asked == "auto", "auto").when(code.startswith("ru"), "ru").when(code.startswith("en"), "en").otherwise("other")
+
+
+def selected_polish_language(requested: Column, detected: Column, confidence: Column, least: float = 0.75) -> Column:
+    """The rules that a document gets: those asked for, or, for auto, those of the language that was found, if that is sure enough."""
+    code = normalized_code(detected)
+    found = F.when(code.isin("en", "ru"), code).when(code != "unknown", "other").otherwise("en")
+    return F.when(requested != "auto", requested).when(confidence >= least, found).otherwise("en")

@@ -10,7 +10,8 @@ PAREN = r"\(\s*\d{1,3}(?:\s*[,;–—-]\s*\d{1,3}){0,12}\s*\)"
 BRACKET = r"\[\s*\d{1,3}(?:\s*[,;–—-]\s*\d{1,3}){0,12}\s*\]"
 # Superscripts that became plain text: numbers between the end of a sentence and the next one's capital.
 FLAT_SUPER = r"[.!?]\s+\d{1,3}(?:\s*[,;–—-]\s*\d{1,3}){1,12}\s+[A-Z]"
-AUTHOR_YEAR = r"\b[A-Z][A-Za-z'-]+(?:\s+(?:et\s+al\.?|(?:and|&)\s+[A-Z][A-Za-z'-]+))?,?\s+\(?(?:19|20)\d{2}[a-z]?\b"
+_NAME = r"[A-ZÀ-ÞА-ЯЁ][A-Za-zÀ-ÖØ-öø-ÿА-яЁё'’.-]+"
+AUTHOR_YEAR = rf"(?iu)(?<![\w-]){_NAME}(?:\s+(?:et\s+al\.?|и\s+др\.?|(?:and|и)\s+{_NAME}|(?:&|&amp;)\s*{_NAME}))?(?:,\s*|\s+)\(?\d{{4}}[a-zа-яё]?\)?"
 
 # The cascade of styles; the first that holds counts. SQL over the counts.
 STYLES: tuple[tuple[str, str, str], ...] = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import language, ocr, text
 from pagewright.operators import audits, citations, defects, detectors, history, ledgers, matching, pages, repairs, runs, sequences, trees
 
-from . import bibliography_queries, repair_queries, structure_queries  # noqa: F401  they register their queries
+from . import bibliography_queries, repair_queries, review_queries, structure_queries  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, query, table
 
 FLAGSHIP = "document_quality_ranking"
@@ -408,7 +408,7 @@ def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STYLE_SQL = f"""WITH c AS (SELECT doc_id, {_CITED_TEXT} AS text FROM documents),
-    n AS (SELECT doc_id, len(regexp_extract_all(text, '{citations.PAREN}')) AS paren, len(regexp_extract_all(text, '{citations.BRACKET}')) AS bracket, len(regexp_extract_all(text, '{citations.AUTHOR_YEAR.replace("'", "''")}')) AS author_year,
+    n AS (SELECT doc_id, len(regexp_extract_all(text, '{citations.PAREN}')) AS paren, len(regexp_extract_all(text, '{citations.BRACKET}')) AS bracket, len(regexp_extract_all(text, '(?i)(?:^|[^\\w-])[A-ZÀ-ÞА-ЯЁ][A-Za-zÀ-ÖØ-öø-ÿА-яЁё''’.-]+(?:\\s+(?:et\\s+al\\.?|и\\s+др\\.?|(?:and|и)\\s+[A-ZÀ-ÞА-ЯЁ][A-Za-zÀ-ÖØ-öø-ÿА-яЁё''’.-]+|(?:&|&amp;)\\s*[A-ZÀ-ÞА-ЯЁ][A-Za-zÀ-ÖØ-öø-ÿА-яЁё''’.-]+))?(?:,\\s*|\\s+)\\(?\\d{{4}}[a-zа-яё]?\\)?')) AS author_year,
           len(regexp_extract_all(text, '[.!?]\\s+[0-9]{{1,3}}(?:\\s*[,;–—-]\\s*[0-9]{{1,3}}){{1,12}}\\s+[A-Z]')) AS flat_super, 0 AS ref_links, 0 AS super_hint, 0 AS author_hint, 0 AS structure, 0 AS numbered FROM c),
     w AS (SELECT *, greatest(paren, bracket, flat_super, super_hint, structure, numbered) AS signal, numbered >= 5 AND (super_hint >= 5 OR bracket >= 5) AS paired FROM n)
     SELECT doc_id, {citations.style_case(1)} AS style, {citations.style_case(2)} AS confidence, paren, bracket, author_year FROM w"""
