@@ -2,13 +2,14 @@
 
 Tokens are summed per source, a repetition rate per source follows from its
 target, and each document is emitted floor(rate) times plus one copy more when
-a hash of its id falls below the fraction. Nothing is drawn at random, so
-reruns agree.
+a hash of its id and its text falls below the fraction. Nothing is drawn at
+random, so reruns agree.
 
 Defined cases: a null text has no words; a null source is a source of its own,
 last in order; documents without words are emitted like any others; a source
-without words has the rate 0; an empty table gives an empty result. Rows that
-repeat an id and a text share their draw.
+without words has the rate 0; an empty table gives an empty result. Rows
+without an id are drawn by their texts; rows that repeat an id and a text share
+their draw.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import materialize, text_of, word_count
 
 WEIGHTS = (3, 1, 2)
+#: Rates of so many sources are broadcast to the documents; beyond, documents are shuffled to them.
+BROADCAST_ROWS = 100_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
@@ -48,13 +51,14 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2, rows: bool = False) -> DataFrame:
     """One row per document with its number of copies: id, size, source_size, target, rate, copies; with ``rows`` also the whole row as a struct ``row``."""
     size = F.coalesce(word_count(docs[text_col].cast("string")), F.lit(0)).cast("long")
-    sized = docs.select(docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), size.alias("size"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if rows else []))
+    sized = docs.select(docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), size.alias("size"), F.md5(F.encode(text_of(docs, text_col), "UTF-8")).alias("digest"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if rows else []))
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sums, weights, share, most).withColumnRenamed("source", "t_source")
-    key = F.concat(F.lit(seed + ":"), F.coalesce(F.col("id").cast("string"), F.lit("null")))
+    targets = materialize(source_targets(sums, weights, share, most).withColumnRenamed("source", "t_source"), "rates")
+    few = targets.count() <= BROADCAST_ROWS
+    key = F.concat(F.lit(seed + ":"), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit(":"), F.col("digest"))
     drawn = F.conv(F.substring(F.md5(F.encode(key, "UTF-8")), 1, 8), 16, 10).cast("double") / 4294967296.0
     copies = F.floor("rate") + (drawn < F.col("rate") - F.floor("rate")).cast("long")
-    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+    joined = sized.join(F.broadcast(targets) if few else targets.hint("merge"), F.col("source").eqNullSafe(F.col("t_source")))
     return joined.select(F.col("id").alias(id_col), "size", "source_size", "target", "rate", copies.cast("long").alias("copies"), *(["row"] if rows else []))
 
 

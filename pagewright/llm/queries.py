@@ -143,7 +143,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM g
     """,
     "op6_mixing": """
-        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+        WITH d AS (SELECT doc_id, source, md5(coalesce(text, '')) AS digest, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
              s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
              w AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM s),
              r AS (SELECT *, sum(source_size::DOUBLE) OVER () * 1.5 AS whole, sum(weight) OVER () AS all_weight,
@@ -154,7 +154,7 @@ ORACLES: dict[str, str] = {
                      (whole - coalesce(sum(CASE WHEN stopped THEN source_size::DOUBLE END) OVER () * 2, 0.0)) * weight / sum(CASE WHEN NOT stopped THEN weight END) OVER () END AS target FROM c),
              u AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t)
         SELECT doc_id, size::BIGINT AS size, source_size, target,
-               (size * (floor(rate) + CASE WHEN ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0 < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+               (size * (floor(rate) + CASE WHEN ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || digest), 1, 8))::BIGINT / 4294967296.0 < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source
     """,
     "op7_quality_rules": f"""

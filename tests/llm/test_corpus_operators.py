@@ -105,6 +105,10 @@ def test_mix_takes_what_the_targets_say(docs, odd, none):
     assert abs(sum(targets.values()) - 1.5 * sum(r["size"] for r in got)) < 1
     assert mixing.mixed_documents(odd).columns == odd.columns
     assert mixing.mix(odd).count() == odd.count()
+    nameless = mixing.mix(docs.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "source"))
+    by_source = nameless.groupBy("source_size", "target").agg({"copies": "max", "size": "count"}).collect()
+    taken = nameless.selectExpr("sum(size * copies) AS n", "sum(size) AS whole").first()
+    assert len(by_source) > 1 and abs(taken["n"] - 1.5 * taken["whole"]) < 0.2 * taken["whole"]
     assert mixing.mix(none).count() == 0
 
 
