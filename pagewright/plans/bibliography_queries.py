@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.operators import bibliography, citation_audit, structure
+from pagewright.operators import bibliography, citation_audit, frontmatter, structure
 
 from .registry import query, table
 
@@ -110,3 +110,30 @@ def citation_range_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = citation_audit.citation_defects(structure.blocks(articles, "html"), ["l_orderkey"])
     shown_list = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
     return found.select("l_orderkey", "id", "severity", "n", shown_list("numbers"), shown_list("missing"))
+
+
+#: Blocks of an article for each remainder of a line item's part, and the defect that a block is by itself. Names and numbers are as damaged or as linked as the rule asks.
+FRONT: list[tuple[str, str]] = [
+    ("<p>Ann Lee @1 @2, Bob Ray @1</p>", "P01"),
+    ('<p class="z2m-affiliations"><a href="#ref-@1">@1</a> Lab of it</p>', "P02"),
+    ('<p>Cy Fox<a href="#ref-@1">@1</a> Di Moe<a href="#ref-@2">@2</a></p>', "P03"),
+    ("<p>Ed Poe @1 @2 ClinicalTrials.gov</p>", ""),
+    ("<p>© @1 The Authors.</p>", ""),
+    ("<p>A plain paragraph ends.</p>", ""),
+    ("<h2>A heading</h2>", ""),
+]
+
+
+@query(f"""
+    WITH b AS (SELECT l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) - 1 AS n, {[d for _, d in FRONT]}[l_partkey % {len(FRONT)} + 1] AS id FROM lineitem)
+    SELECT l_suppkey, id, CASE id WHEN 'P01' THEN 'warning' ELSE 'error' END AS severity, min(n)::INT AS n FROM b WHERE (id = 'P01' AND n < 20) OR (id = 'P02' AND n < 25) OR (id = 'P03' AND n < 18) GROUP BY l_suppkey, id""")
+def frontmatter_defect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Front matter of one long article per supplier, a block for each line item; both stages are the same."""
+    items = table(spark, sf_dir, "lineitem")
+    a, b = F.col("l_linenumber").cast("string"), (F.col("l_linenumber") + 1).cast("string")
+    shown = [F.replace(F.replace(F.lit(t), F.lit("@1"), a), F.lit("@2"), b) for t, _ in FRONT]
+    markup = F.element_at(F.array(*shown), (F.col("l_partkey") % len(FRONT)).cast("int") + 1)
+    blocks = F.transform(F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", markup.alias("markup")))), lambda r: r["markup"])
+    articles = items.groupBy("l_suppkey").agg(F.array_join(blocks, "\n").alias("html"))
+    found = structure.blocks(articles, "html")
+    return frontmatter.frontmatter_defects(found, found, ["l_suppkey"])
