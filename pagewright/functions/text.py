@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space as Unicode has it.
 SPACES = r"(?U)\s+"
 
-#: The named entities that documents use, decoded after the markup is gone; the ampersand comes last.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&copy;", "©"), ("&amp;", "&"))
+#: Names of the commonest entities; the others are those of HTML 5, by the standard library's table.
+COMMON = ("amp", "lt", "gt", "quot", "nbsp", "apos", "ndash", "mdash", "hellip", "copy", "middot")
 
 #: Tags that end a line of visible text.
 BLOCK_TAGS = "article|section|div|p|br|h[1-6]|li|ol|ul|table|thead|tbody|tfoot|tr|td|th"
@@ -23,9 +26,23 @@ def squeezed(text: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    for name, value in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(value))
-    return text
+    """Entities decoded, each once: named ones that end in a semicolon, and numeric ones, with or without it. Others stay."""
+    names = [n for n in COMMON] + sorted(n[:-1] for n in html5 if n.endswith(";") and n[:-1] not in COMMON)
+    table = F.from_json(F.lit(json.dumps({n: html5[f"{n};"] for n in names})), "map<string,string>")  # one literal for the planner
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        number = F.regexp_extract(part, "^#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?", 1)
+        hexed = number.rlike("^[xX]")
+        code = F.when(hexed, F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number).try_cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        character = F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
+        rest = F.regexp_replace(part, "^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?", "")
+        named = F.when(name != "", F.concat(F.element_at(table, name), F.substring(part, F.char_length(name) + 2, F.char_length(part))))
+        return F.coalesce(named, F.when(valid, F.concat(character, rest)), F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&")
+    return F.when(~text.contains("&"), text).otherwise(F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded), "")))
 
 
 def stripped_tags(html: Column) -> Column:

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from pagewright.functions import mojibake as wrong
 from pagewright.functions import text as T
 
 Repair = Callable[[Column], Column]
@@ -36,14 +39,10 @@ def sub(pattern: str, value: str) -> Repair:
     return lambda c: F.regexp_replace(c, pattern, value)
 
 
-#: Characters that a wrong decoding leaves behind, longest first.
-MOJIBAKE = (("â€œ", "“"), ("â€™", "’"), ("â€“", "–"), ("â€”", "—"), ("â€¦", "…"), ("Ã¤", "ä"), ("Ã¶", "ö"), ("Ã¼", "ü"), ("ÃŸ", "ß"), ("Ã©", "é"), ("Ã¨", "è"), ("Ã±", "ñ"), ("Â°", "°"), ("Â±", "±"))
-
-
-def mojibake(c: Column) -> Column:
-    for wrong, right in MOJIBAKE:
-        c = F.replace(c, F.lit(wrong), F.lit(right))
-    return c
+@F.pandas_udf(StringType())
+def mojibake(texts: pd.Series) -> pd.Series:
+    """Characters of wrong decodings, mended until nothing changes. The only repair here that needs a loop over a text, so it isn't an expression."""
+    return texts.map(wrong.mended, na_action="ignore")
 
 
 def url_spaces(c: Column) -> Column:
@@ -65,7 +64,7 @@ def tex_text(c: Column) -> Column:
 #: The phases in order; a phase's repairs in order.
 PHASES: dict[str, tuple[Repair, ...]] = {
     "pre_cleanup": (
-        *(guarded(mark, to_fixpoint(mojibake)) for mark in ("â€", "Ã", "Â")),
+        mojibake,
         sub(r"(?i)<\s*(/?)\s*(sup|sub)\s*>", "<$1$2>"),
         sub(r"(?i)&lt;(/?(?:sup|sub))&gt;", "<$1>"),
         sub(r"(?is)<p\b[^>]*>\s*page\s+\d+\s+of\s+\d+\s*</p>", ""),

@@ -79,16 +79,22 @@ def title_key(text: Column) -> Column:
 def title_candidates(fragments: DataFrame, titles: DataFrame, fragment_id: str, title_id: str, text: str, most: int = 8, least: int = 6, share: float = 0.78) -> DataFrame:
     """fragment, title, score: titles that hold a fragment's words in order, the best few of each.
 
-    Words of four letters or more are keys of an equi-join; only titles that
-    share enough of a fragment's words are read word by word.
+    Words of four letters or more are keys of an equi-join. A title that shares
+    the needed words shares one of the rarest, as many as may be missing and
+    one more; so only these are joined, and titles they bring are read word by
+    word.
     """
     words = lambda c: F.filter(F.split(title_key(c), " "), lambda w: F.char_length(w) >= 4)
     f = fragments.select(F.col(fragment_id).alias("f"), words(F.col(text)).alias("fw")).where(F.size("fw") >= least)
     t = titles.select(F.col(title_id).alias("t"), words(F.col(text)).alias("tw"))
     needed = F.greatest(F.lit(least), F.lit(share) * F.size("fw")).alias("needed")
     counted = f.select("f", needed, F.explode("fw").alias("w")).groupBy("f", "needed", "w").agg(F.count("*").alias("times"))
-    met = counted.join(t.select("t", F.explode(F.array_distinct("tw")).alias("w")), "w")
-    shared = met.groupBy("f", "needed", "t").agg(F.sum("times").alias("n")).where(F.col("n") >= F.col("needed"))  # no title with fewer can pass
+    have = t.select("t", F.explode(F.array_distinct("tw")).alias("w"))
+    known = counted.join(have.groupBy("w").agg(F.count("*").alias("df")), "w", "left")
+    rarest = Window.partitionBy("f").orderBy(F.coalesce("df", F.lit(0)), "w").rowsBetween(Window.unboundedPreceding, -1)
+    index = known.withColumns({"before": F.coalesce(F.sum("times").over(rarest), F.lit(0)), "all": F.sum("times").over(Window.partitionBy("f"))})
+    index = index.where(F.col("before") <= F.floor(F.col("all") - F.col("needed")))
+    shared = index.join(have, "w").select("f", "t").distinct()
     pairs = shared.select("f", "t").join(f, "f").join(t, "t")
     start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -19,3 +19,10 @@ def shared_path(spark: SparkSession, tag: str) -> str:
         app = spark.sparkContext.applicationId
         found = _own.setdefault(app, _own.get(app) or "file://" + tempfile.mkdtemp(prefix="pagewright-"))
     return f"{found.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write a table into the shared folder and read it again, so that several readers don't make it several times."""
+    path = shared_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
