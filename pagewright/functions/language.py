@@ -70,10 +70,12 @@ def detect(df: DataFrame, keys: list[str], text: Column, min_alpha: int, min_wor
     """One row per row of ``df``, whose ``keys`` are unique: keys, language, confidence, reason and the measures."""
     n = lambda pattern: F.regexp_count("text", F.lit(pattern))
     base = df.select(*keys, F.trim(F.regexp_replace(text, r"\s+", " ")).alias("text"))
-    measured = base.select(*keys, F.char_length("text").alias("n_chars"), n(WORD).alias("n_words"), n(LATIN).alias("latin"), n(CYRILLIC).alias("cyrillic"), n(CJK).alias("cjk"), n(KANA).alias("kana"), n(HAN).alias("han"))
-    found = base.select(*keys, F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word"))
-    hits = found.join(F.broadcast(stop_words(df.sparkSession)), "word").groupBy(*keys).agg(*[F.count_if(F.col("code") == c).alias(f"hits_{c}") for c in STOP_WORDS])
-    joined = measured.join(hits, keys, "left").fillna(0, [f"hits_{c}" for c in STOP_WORDS])
+    # one scan: words leave a row beside its measures, and meet again in a partial aggregate before they are shuffled
+    measures = {"n_chars": F.char_length("text"), "n_words": n(WORD), "latin": n(LATIN), "cyrillic": n(CYRILLIC), "cjk": n(CJK), "kana": n(KANA), "han": n(HAN)}
+    measured = base.select(*keys, *[m.alias(k) for k, m in measures.items()], F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)).alias("words"))
+    # the words are exploded in a step of their own: measures beside a generator would be made for each word
+    met = measured.select(*keys, *measures, F.explode_outer("words").alias("word")).join(F.broadcast(stop_words(df.sparkSession)), "word", "left")
+    joined = met.groupBy(*keys, *measures).agg(*[F.count_if(F.col("code") == c).alias(f"hits_{c}") for c in STOP_WORDS])
     best = F.greatest(*[F.struct(F.col(f"hits_{c}").alias("n"), F.lit(-i).alias("order"), F.lit(c).alias("code")) for i, c in enumerate(EUROPEAN)])
     alpha = F.col("latin") + F.col("cyrillic")
     ratio = lambda c: F.when(alpha > 0, F.col(c) / alpha).otherwise(F.lit(0.0))

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.sources import shared
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -32,6 +34,7 @@ RULES: tuple[Rule, ...] = (
 
 # Severities and what a link metric weighs.
 SEVERITY_WEIGHTS = {"error": 10.0, "warning": 3.0}
+BROADCAST_ROWS = 100_000
 OTHER_WEIGHT, DISTINCT_WEIGHT = 0.5, 0.25
 LINK_WEIGHTS = {"broken_internal_links": 4.0, "internal_page_anchor_links": 1.0, "external_page_query_links": 1.0, "table_units_with_section_ids": 5.0, "polish_replacement_chars": 1.0}
 
@@ -59,8 +62,11 @@ def hit_counts(defects: DataFrame, article: str) -> DataFrame:
 
 
 def with_hit_counts(defects: DataFrame, article: str) -> DataFrame:
-    """Each defect row with how many articles have its id; the counts are a row per rule."""
-    return defects.join(F.broadcast(hit_counts(defects, article)), "id")
+    """Each defect row with how many articles have its id. The rows are written once, so that texts are searched once; the counts are broadcast after they were counted."""
+    found = shared.materialize(defects, "defects")
+    counts = shared.materialize(hit_counts(found, article), "hit-counts")
+    few = counts.count() <= BROADCAST_ROWS
+    return found.join(F.broadcast(counts) if few else counts.hint("merge"), "id")
 
 
 def article_scores(defects: DataFrame, article: str) -> DataFrame:

@@ -154,10 +154,10 @@ def severity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two runs over sources: even documents and odd ones; source src0 is only in the first, src1 only in the second."""
+    """Two runs over sources: even documents and odd ones; source src0 is in the first alone, src1 in the second."""
     found = found_defects(spark, sf_dir)
-    old = defects.article_scores(found.where("doc_id % 2 = 0 AND source != 'src1'"), "source")
-    new = defects.article_scores(found.where("doc_id % 2 = 1 AND source != 'src0'"), "source")
+    old = defects.article_scores(found.where("(doc_id % 2 = 0 AND source != 'src1') OR source = 'src0'"), "source")
+    new = defects.article_scores(found.where("(doc_id % 2 = 1 AND source != 'src0') OR source = 'src1'"), "source")
     return old, new
 
 
@@ -168,7 +168,7 @@ _COMPARE_SQL = f"""
            round(coalesce(n.score, 0) - coalesce(o.score, 0), 2)::DOUBLE AS score_delta, coalesce(n.defects, 0) - coalesce(o.defects, 0) AS defects_delta,
            coalesce(n.errors, 0) - coalesce(o.errors, 0) AS errors_delta, coalesce(n.warnings, 0) - coalesce(o.warnings, 0) AS warnings_delta,
            CASE WHEN o.source IS NULL THEN 'new' WHEN n.source IS NULL THEN 'removed' WHEN round(n.score - o.score, 2) > 0 THEN 'regression' WHEN round(n.score - o.score, 2) < 0 THEN 'improvement' ELSE 'unchanged' END AS verdict
-    FROM ({_RUN_SQL.format(d=DEFECTS_SQL, w="doc_id % 2 = 0 AND source != 'src1'")}) o FULL OUTER JOIN ({_RUN_SQL.format(d=DEFECTS_SQL, w="doc_id % 2 = 1 AND source != 'src0'")}) n ON o.source = n.source"""
+    FROM ({_RUN_SQL.format(d=DEFECTS_SQL, w="(doc_id % 2 = 0 AND source != 'src1') OR source = 'src0'")}) o FULL OUTER JOIN ({_RUN_SQL.format(d=DEFECTS_SQL, w="(doc_id % 2 = 1 AND source != 'src0') OR source = 'src1'")}) n ON o.source = n.source"""
 
 
 @query(_COMPARE_SQL)
@@ -240,17 +240,22 @@ def neighbour_window_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "turn", "role", sequences.any_within(F.char_length("text") > 2000, ["conv_id"], "turn", 2, 2).alias("long_nearby"))
 
 
-@query("""WITH k AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber != 3), i AS (SELECT *, l_linenumber - row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS island FROM k),
+def _with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All line items, numbered so that three is never a number."""
+    return table(spark, sf_dir, "lineitem").withColumn("l_linenumber", F.col("l_linenumber") + (F.col("l_linenumber") >= 3).cast("int"))
+
+
+@query("""WITH k AS (SELECT DISTINCT l_orderkey, l_linenumber + (l_linenumber >= 3)::INT AS l_linenumber FROM lineitem), i AS (SELECT *, l_linenumber - row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS island FROM k),
     r AS (SELECT l_orderkey, min(l_linenumber) AS first, count(*) AS length FROM i GROUP BY l_orderkey, island)
     SELECT l_orderkey, first, length FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY length DESC, first) AS n FROM r) WHERE n = 1""")
 def longest_consecutive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequences.longest_run(table(spark, sf_dir, "lineitem").where("l_linenumber != 3"), "l_orderkey", "l_linenumber")
+    return sequences.longest_run(_with_gaps(spark, sf_dir), "l_orderkey", "l_linenumber")
 
 
-@query("""WITH k AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber != 3), b AS (SELECT l_orderkey, unnest(range(min(l_linenumber), max(l_linenumber) + 1))::INT AS missing FROM k GROUP BY l_orderkey)
+@query("""WITH k AS (SELECT DISTINCT l_orderkey, l_linenumber + (l_linenumber >= 3)::INT AS l_linenumber FROM lineitem), b AS (SELECT l_orderkey, unnest(range(min(l_linenumber), max(l_linenumber) + 1))::INT AS missing FROM k GROUP BY l_orderkey)
     SELECT b.l_orderkey, missing FROM b LEFT JOIN k ON b.l_orderkey = k.l_orderkey AND missing = l_linenumber WHERE k.l_orderkey IS NULL""")
 def id_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequences.gaps(table(spark, sf_dir, "lineitem").where("l_linenumber != 3"), "l_orderkey", "l_linenumber")
+    return sequences.gaps(_with_gaps(spark, sf_dir), "l_orderkey", "l_linenumber")
 
 
 @query("""WITH e AS (SELECT user_id, epoch_us(ts) AS s, epoch_us(ts) + 3600000000 * (1 + event_id % 48) AS t FROM events),
@@ -569,13 +574,13 @@ def destination_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.prefix_counts(table(spark, sf_dir, "orders").select("o_orderstatus", name.alias("name")), ["o_orderstatus"], "name")
 
 
-@query("""WITH e AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 7 != 0), f AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN md5(text || 'x') ELSE md5(text) END AS h FROM documents WHERE doc_id % 5 != 0)
+@query("""WITH e AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 7 != 0), f AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN md5(text || 'x') ELSE md5(text) END AS h FROM documents WHERE doc_id % 5 != 0 OR doc_id % 7 = 0)
     SELECT coalesce(e.doc_id, f.doc_id) AS doc_id, CASE WHEN f.doc_id IS NULL THEN 'missing' WHEN e.doc_id IS NULL THEN 'unknown' ELSE 'changed' END AS problem FROM e FULL OUTER JOIN f ON e.doc_id = f.doc_id WHERE f.doc_id IS NULL OR e.doc_id IS NULL OR e.h != f.h""")
 def cached_source_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     digest = lambda c: F.md5(F.encode(c, "UTF-8"))
     expected = docs.where("doc_id % 7 != 0").select("doc_id", digest(F.col("text")).alias("h"))
-    found = docs.where("doc_id % 5 != 0").select("doc_id", digest(F.concat("text", F.when(F.col("doc_id") % 11 == 0, "x").otherwise(""))).alias("h"))
+    found = docs.where("doc_id % 5 != 0 OR doc_id % 7 = 0").select("doc_id", digest(F.concat("text", F.when(F.col("doc_id") % 11 == 0, "x").otherwise(""))).alias("h"))
     return runs.checked_snapshot(expected, found, "doc_id", "h")
 
 

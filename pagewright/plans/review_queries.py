@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import language
-from pagewright.operators import reviews
+from pagewright.operators import reports, reviews
 
 from .registry import query, table
 
@@ -69,3 +69,53 @@ def document_polish_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = language.requested_polish_language(pick(["English", " EN-gb ", "rus", "de", "zh-TW", "auto", None, "xx"]))
     selected = language.selected_polish_language(asked, pick(["en", "ru", "de", "unknown", "eng"]), i % 10 / 10)
     return table(spark, sf_dir, "documents").select("doc_id", asked.alias("requested"), selected.alias("selected"))
+
+
+_RECORDS = """
+    d AS (SELECT l_orderkey AS article, CASE WHEN l_linenumber = 7 THEN '' ELSE 'P' || l_partkey % 5 END AS id, ['error', 'warning', 'info', 'note'][l_suppkey % 4 + 1] AS severity, CASE l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN l_partkey % 2 = 0 ELSE true END AS counted FROM lineitem),
+    c AS (SELECT *, CASE WHEN id = '' THEN 'unknown' ELSE id END AS name FROM d WHERE counted IS NOT FALSE),
+    n AS (SELECT article, name, count(*) AS n FROM c GROUP BY ALL),
+    p AS (SELECT article, count(*) AS defects, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warning') AS warnings, count(*) FILTER (severity = 'info') AS infos, count(DISTINCT name) AS unique_ids, count(DISTINCT name) FILTER (name != 'unknown') AS named FROM c GROUP BY article),
+    i AS (SELECT article, string_agg(name || '=' || n, ',' ORDER BY name) AS ids FROM n GROUP BY article),
+    m AS (SELECT o_orderkey AS article, o_custkey % 3 AS broken, o_custkey % 7 AS raw, o_custkey % 11 AS ref FROM orders)"""
+
+
+def _run_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Line items as defects of their orders, and three metrics of each order."""
+    items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    severity = F.element_at(F.array(*[F.lit(s) for s in ("error", "warning", "info", "note")]), (F.col("l_suppkey") % 4).cast("int") + 1)
+    name = F.when(F.col("l_linenumber") == 7, "").otherwise(F.concat(F.lit("P"), (F.col("l_partkey") % 5).cast("string")))
+    counted = F.when(F.col("l_linenumber") % 3 == 1, F.col("l_partkey") % 2 == 0).when(F.col("l_linenumber") % 3 == 2, True)
+    found = items.select(F.col("l_orderkey").alias("article"), name.alias("id"), severity.alias("severity"), counted.alias("counted"))
+    metric = lambda n, c: F.struct(F.lit(n).alias("metric"), c.cast("double").alias("value"))
+    k = F.col("o_custkey")
+    metrics = orders.select(F.col("o_orderkey").alias("article"), F.inline(F.array(metric("broken_internal_links", k % 3), metric("raw_ref_links", k % 7), metric("ref_links", k % 11))))
+    return found, metrics
+
+
+@query(f"""WITH {_RECORDS}
+    SELECT coalesce(p.article, m.article) AS article, round(coalesce(errors, 0) * 10.0 + coalesce(warnings, 0) * 3.0 + (coalesce(defects, 0) - coalesce(errors, 0) - coalesce(warnings, 0)) * 0.5 + coalesce(named, 0) * 0.25 + coalesce(broken, 0) * 4.0, 2)::DOUBLE AS score,
+           coalesce(defects, 0) AS defects, coalesce(errors, 0) AS errors, coalesce(warnings, 0) AS warnings, coalesce(infos, 0) AS infos, coalesce(unique_ids, 0) AS unique_ids, coalesce(ids, '') AS defect_ids,
+           CASE WHEN m.article IS NULL THEN '' ELSE 'broken_internal_links=' || broken || ',raw_ref_links=' || raw || ',ref_links=' || ref || ',ref_links_delta=' || (ref - raw) END AS metrics
+    FROM p LEFT JOIN i ON p.article = i.article FULL JOIN m ON p.article = m.article""")
+def run_article_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of a run's articles: orders with line items as their defects."""
+    found = reports.article_records(*_run_rows(spark, sf_dir), "article")
+    shown = lambda c, kind: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast(kind).cast("string"))), ",").alias(c)
+    return found.select("article", "score", "defects", "errors", "warnings", "infos", "unique_ids", shown("defect_ids", "long"), shown("metrics", "long"))
+
+
+@query(f"""WITH {_RECORDS}, a AS (SELECT id, article, bool_or(counted IS NOT FALSE) AS counts FROM d GROUP BY id, article)
+    SELECT id, count(*) FILTER (counts) AS counted, count(*) AS observed, count(*) FILTER (NOT counts) AS uncounted FROM a GROUP BY id""")
+def run_pattern_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In how many articles each defect counts, is seen, and is seen without counting."""
+    return reports.pattern_counts(_run_rows(spark, sf_dir)[0], "article")
+
+
+@query(f"""WITH {_RECORDS},
+    s AS (SELECT count(*) AS article_count, sum(coalesce(errors, 0) * 10.0 + coalesce(warnings, 0) * 3.0 + (coalesce(defects, 0) - coalesce(errors, 0) - coalesce(warnings, 0)) * 0.5 + coalesce(named, 0) * 0.25 + coalesce(broken, 0) * 4.0) AS score, sum(defects) AS defects, sum(errors) AS errors, sum(warnings) AS warnings, sum(infos) AS infos FROM p FULL JOIN m ON p.article = m.article)
+    SELECT article_count, round(score, 2)::DOUBLE AS score, defects::BIGINT AS defects, errors::BIGINT AS errors, warnings::BIGINT AS warnings, infos::BIGINT AS infos, (SELECT sum(ref - raw) FROM m)::DOUBLE AS ref_links_delta FROM s""")
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the records of a run sum up to."""
+    totals = reports.run_totals(reports.article_records(*_run_rows(spark, sf_dir), "article"))
+    return totals.select("article_count", "score", "defects", "errors", "warnings", "infos", F.element_at("metrics", "ref_links_delta").alias("ref_links_delta"))
