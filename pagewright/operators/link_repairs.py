@@ -152,6 +152,28 @@ def unique_targets(df: DataFrame, keys: list[str], html: str) -> DataFrame:
     return joined.select(*[c for c in df.columns if c != html], _rebuilt(html, "_changes").alias(html), zero("duplicate_targets"), zero("renamed_targets"), zero("rewritten_references"))
 
 
+@F.pandas_udf(StringType())
+def _without(html: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([text if text is None or s is None else markup.rebuilt(text, {(x["start"], x["stop"]): "" for x in s}) for text, s in zip(html, spans, strict=True)])
+
+
+def unwrap_broken_links(df: DataFrame, keys: list[str], html: str) -> DataFrame:
+    """Documents without links to targets that they don't have: the links go, what they show stays. Adds ``unwrapped_links``.
+
+    Anchors meet their own document's targets in an anti join by document and name.
+    """
+    text = df.select(*keys, html)
+    tokens = text.lateralJoin(FragmentTokens(F.col(html).outer())).drop(html)
+    targets = tokens.where("role = 'target'").select(*keys, "value").distinct()
+    local = tokens.where("role = 'href' AND value != ''").select(*keys, "value", F.col("at").alias("start"))
+    anchors = text.lateralJoin(structure.MarkupAnchors(F.col(html).outer())).select(*keys, "start", "body_start", "body_stop", "stop")
+    broken = local.join(targets, [*keys, "value"], "left_anti").join(anchors, [*keys, "start"])
+    tags = F.array(F.struct("start", F.col("body_start").alias("stop")), F.struct(F.col("body_stop").alias("start"), "stop"))
+    found = broken.groupBy(*keys).agg(F.flatten(F.collect_list(tags)).alias("_tags"), F.count("*").alias("unwrapped_links"))
+    joined = df.join(found, keys, "left")
+    return joined.select(*[_without(html, "_tags").alias(html) if c == html else c for c in df.columns], F.coalesce("unwrapped_links", F.lit(0)).alias("unwrapped_links"))
+
+
 # --- runs of anchors -------------------------------------------------------------------------------------------
 
 #: The host of reference anchors, how much text may stand in and between them, and two words that their splits break.

@@ -58,6 +58,19 @@ def autolinked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.md5(F.encode(link_repairs.autolinked(text), "UTF-8")).alias("html_md5"))
 
 
+_LOCAL = "regexp_replace(replace(html, '<h1>', '<h1 id=\"to\">'), '<a href=\"/', '<a href=\"#', 'g')"
+
+
+@query(f"""WITH h AS (SELECT page_id, {_LOCAL} AS html FROM pages)
+    SELECT page_id, len(regexp_extract_all(html, '<a href="#[^"]+">[^<]*</a>')) - len(regexp_extract_all(html, '<a href="#to">')) AS unwrapped_links,
+           md5(replace(regexp_replace(replace(html, '<a href="#to">', '<A href="#to">'), '<a href="#[^"]+">([^<]*)</a>', '\\1', 'g'), '<A href="#to">', '<a href="#to">')) AS html_md5 FROM h""")
+def unwrapped_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose links are local, and of whose targets one alone is there."""
+    local = F.replace(F.replace("html", F.lit("<h1>"), F.lit('<h1 id="to">')), F.lit('<a href="/'), F.lit('<a href="#'))
+    found = link_repairs.unwrap_broken_links(table(spark, sf_dir, "pages").select("page_id", local.alias("html")), ["page_id"], "html")
+    return found.select("page_id", "unwrapped_links", F.md5(F.encode("html", "UTF-8")).alias("html_md5"))
+
+
 # --- tables and images ---------------------------------------------------------------------------------------
 
 _CLEAN = "<tr><th>Study</th><th>Year of publication</th><th>Mean age</th></tr><tr><th>Author name</th><th>of it</th><th>in months</th></tr>"

@@ -140,3 +140,16 @@ def test_mended_urls():
         assert urls.mended(broken) == whole
     assert urls.apart("x(a)).,") == ("x(a)", ").,") and urls.apart("...") == ("", "...")
     assert urls.same(urls.compare_key("HTTPS://X.org/a-b/"), urls.compare_key("x.org/ab"))
+
+
+def test_broken_links_are_unwrapped(spark):
+    docs = {
+        "some": '<p id="a b">1</p><a href="#a%20b">in</a> <a class="x" href="#none">o<b>u</b>t</a> <a name="m">m</a><a href="#m">n</a><a href="https://x.org#none">away</a>',
+        "hidden": '<!-- <i id="z"> --><a href="#z">z</a><!-- <a href="#q">q</a> -->',
+        "null": None,
+        "empty": "",
+    }
+    rows = {r["doc"]: (r["html"], r["unwrapped_links"]) for r in link_repairs.unwrap_broken_links(frame(spark, docs), ["doc"], "html").collect()}
+    assert rows["some"] == (docs["some"].replace('<a class="x" href="#none">o<b>u</b>t</a>', "o<b>u</b>t"), 1)
+    assert rows["hidden"] == ('<!-- <i id="z"> -->z<!-- <a href="#q">q</a> -->', 1)
+    assert rows["null"] == (None, 0) and rows["empty"] == ("", 0)
