@@ -76,36 +76,46 @@ def title_key(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9à-öø-ÿ]+", " "))
 
 
-def title_candidates(fragments: DataFrame, titles: DataFrame, fragment_id: str, title_id: str, text: str, most: int = 8, least: int = 6, share: float = 0.78) -> DataFrame:
-    """fragment, title, score: titles that hold a fragment's words in order, the best few of each.
+#: A fragment so long counts whole if a title contains it; words that match begin alike, with so many letters at least.
+CONTAINED, ALIKE = 32, 4
+
 
-    Words of four letters or more are keys of an equi-join. A title that shares
-    the needed words shares one of the rarest, as many as may be missing and
-    one more; so only these are joined, and titles they bring are read word by
-    word.
+def title_candidates(fragments: DataFrame, titles: DataFrame, fragment_id: str, title_id: str, text: str, most: int = 8, least: int = 6, share: float = 0.78) -> DataFrame:
+    """fragment, title, score: titles that hold a fragment's words in order, or the whole fragment, the best few of each.
+
+    Two words of four letters or more match if one begins with the other, so
+    their first four letters are keys of an equi-join. A title that shares the
+    needed words shares one of the rarest keys, as many as may be missing and
+    one more; of a fragment that a title contains, only the first word may be
+    missing, of which the fragment has the end. So only these keys are joined,
+    and titles they bring are read word by word. Fragments without a word of
+    four letters match nothing.
     """
-    words = lambda c: F.filter(F.split(title_key(c), " "), lambda w: F.char_length(w) >= 4)
-    f = fragments.select(F.col(fragment_id).alias("f"), words(F.col(text)).alias("fw")).where(F.size("fw") >= least)
-    t = titles.select(F.col(title_id).alias("t"), words(F.col(text)).alias("tw"))
-    needed = F.greatest(F.lit(least), F.lit(share) * F.size("fw")).alias("needed")
-    counted = f.select("f", needed, F.explode("fw").alias("w")).groupBy("f", "needed", "w").agg(F.count("*").alias("times"))
-    have = t.select("t", F.explode(F.array_distinct("tw")).alias("w"))
+    words = lambda c: F.filter(F.split(c, " "), lambda w: F.char_length(w) >= ALIKE)
+    f = fragments.select(F.col(fragment_id).alias("f"), title_key(F.col(text)).alias("fk")).withColumn("fw", words("fk"))
+    f = f.where((F.size("fw") >= least) | (F.char_length("fk") >= CONTAINED))
+    begins = lambda ws: F.transform(ws, lambda w: F.substring(w, 1, ALIKE))
+    t = titles.select(F.col(title_id).alias("t"), title_key(F.col(text)).alias("tk")).withColumn("tw", words("tk")).withColumn("tb", F.array_distinct(begins(F.col("tw"))))
+    missing = F.greatest(F.lit(1), F.floor(F.size("fw") - F.greatest(F.lit(least), F.lit(share) * F.size("fw")))).alias("missing")
+    counted = f.select("f", missing, F.explode(begins(F.col("fw"))).alias("w")).groupBy("f", "missing", "w").agg(F.count("*").alias("times"))
+    have = t.select("t", F.explode("tb").alias("w"))
     known = counted.join(have.groupBy("w").agg(F.count("*").alias("df")), "w", "left")
     rarest = Window.partitionBy("f").orderBy(F.coalesce("df", F.lit(0)), "w").rowsBetween(Window.unboundedPreceding, -1)
-    index = known.withColumns({"before": F.coalesce(F.sum("times").over(rarest), F.lit(0)), "all": F.sum("times").over(Window.partitionBy("f"))})
-    index = index.where(F.col("before") <= F.floor(F.col("all") - F.col("needed")))
-    shared = index.join(have, "w").select("f", "t").distinct()
-    pairs = shared.select("f", "t").join(f, "f").join(t, "t")
+    index = known.withColumn("before", F.coalesce(F.sum("times").over(rarest), F.lit(0))).where("before <= missing")
+    pairs = index.join(have, "w").select("f", "missing", "t").distinct().join(f, "f").join(t, "t")
+    # before they are read word by word, titles that lack too many beginnings are left out
+    pairs = pairs.where(F.size(F.array_except(begins(F.col("fw")), "tb")) <= F.col("missing"))
     start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
 
     def step(acc: Column, w: Column) -> Column:
-        place = F.array_position(F.slice(F.col("tw"), acc["at"] + 1, F.greatest(F.size("tw") - acc["at"], F.lit(0))), w)
+        rest = F.slice(F.col("tw"), acc["at"] + 1, F.greatest(F.size("tw") - acc["at"], F.lit(0)))
+        place = F.array_position(F.transform(rest, lambda x: F.startswith(x, w) | F.startswith(w, x)), True)
         found = place > 0
         return F.struct(F.when(found, acc["at"] + place.cast("int")).otherwise(acc["at"]).alias("at"), (acc["n"] + found.cast("int")).alias("n"))
 
-    scored = pairs.select("f", "t", F.size("fw").alias("size"), F.aggregate("fw", start, step, lambda a: a["n"]).alias("n"))
-    score = F.round(F.col("n") / F.col("size"), 4)
-    good = scored.where((F.col("n") >= least) & (F.col("n") >= F.lit(share) * F.col("size"))).withColumn("score", score)
+    scored = pairs.select("f", "t", F.size("fw").alias("size"), F.aggregate("fw", start, step, lambda a: a["n"]).alias("n"), ((F.char_length("fk") >= CONTAINED) & F.contains("tk", "fk")).alias("whole"))
+    good = scored.where(F.col("whole") | ((F.col("size") >= least) & (F.col("n") >= least) & (F.col("n") >= F.lit(share) * F.col("size"))))
+    good = good.withColumn("score", F.when(F.col("whole"), 1.0).otherwise(F.round(F.col("n") / F.col("size"), 4)))
     place = F.row_number().over(Window.partitionBy("f").orderBy(F.desc("score"), "t"))
     return good.withColumn("place", place).where(F.col("place") <= most).select(F.col("f").alias(fragment_id), F.col("t").alias(title_id), "score")
 

@@ -61,26 +61,29 @@ def test_best_pages_against_all_pairs(spark, seed):
 
 def test_titles_against_all_pairs(spark):
     r = random.Random(5)
-    words = [f"word{chr(97 + i)}" for i in range(14)]
+    words = [f"{chr(97 + i)}ord{end}" for i in range(8) for end in ("", "s", "less")] + ["of", "the"]
     draw = lambda n: [r.choice(words) for _ in range(n)]
     titles = [(i, " ".join(draw(r.randint(3, 20)))) for i in range(120)]
     fragments = []
-    for i in range(40):
-        w = r.choice(titles)[1].split()
+    for i in range(60):
+        w = list(r.choice(titles)[1].split())
         if r.random() < 0.5:
             w.insert(r.randrange(len(w) + 1), r.choice(words))
-        fragments.append((i, " ".join(w[: r.randint(4, 20)])))
+        x = " ".join(w[: r.randint(4, 20)])
+        fragments.append((i, x[r.randint(1, 3) :] if r.random() < 0.3 else x))  # some begin within a word
     got = runs.title_candidates(spark.createDataFrame(fragments, "f int, x string"), spark.createDataFrame(titles, "t int, x string"), "f", "t", "x")
     want = []
     for f, x in fragments:
-        fw, found = x.split(), []
+        fw, found = [w for w in x.split() if len(w) > 3], []
         for t, y in titles:
-            at = n = 0
+            at, n, tw = 0, 0, [w for w in y.split() if len(w) > 3]
             for w in fw:
-                rest = y.split()[at:]
-                if w in rest:
-                    at, n = at + rest.index(w) + 1, n + 1
-            if len(fw) >= 6 and n >= 6 and n >= 0.78 * len(fw):
+                place = next((i for i in range(at, len(tw)) if tw[i].startswith(w) or w.startswith(tw[i])), None)
+                if place is not None:
+                    at, n = place + 1, n + 1
+            if len(x) >= 32 and x in y:
+                found.append((-1.0, t))
+            elif n >= 6 and n >= 0.78 * len(fw):
                 found.append((-round(n / len(fw), 4), t))
         want += [(f, t, -s) for s, t in sorted(found)[:8]]
-    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 20
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 40
