@@ -22,6 +22,7 @@ from pyspark.sql.functions import udtf
 from pyspark.sql.types import StringType
 
 from pagewright.functions import markup, urls
+from pagewright.sources import shared
 
 from . import structure
 
@@ -117,6 +118,7 @@ def unique_targets(df: DataFrame, keys: list[str], html: str) -> DataFrame:
     ``rewritten_references``; ``html`` is replaced.
     """
     tokens = df.select(*keys, html).lateralJoin(FragmentTokens(F.col(html).outer())).drop(html)
+    tokens = shared.materialize(tokens, "fragments")  # targets and references are read several times, documents once
     name = [*keys, "value"]
     found = tokens.where("role = 'target'").groupBy(*name, "at", "chunk").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     numbered = found.withColumn("nth", F.row_number().over(Window.partitionBy(*name).orderBy("at"))).withColumn("_of", F.count("*").over(Window.partitionBy(*name)))
@@ -163,7 +165,7 @@ def unwrap_broken_links(df: DataFrame, keys: list[str], html: str) -> DataFrame:
     Anchors meet their own document's targets in an anti join by document and name.
     """
     text = df.select(*keys, html)
-    tokens = text.lateralJoin(FragmentTokens(F.col(html).outer())).drop(html)
+    tokens = shared.materialize(text.lateralJoin(FragmentTokens(F.col(html).outer())).drop(html), "fragments")
     targets = tokens.where("role = 'target'").select(*keys, "value").distinct()
     local = tokens.where("role = 'href' AND value != ''").select(*keys, "value", F.col("at").alias("start"))
     anchors = text.lateralJoin(structure.MarkupAnchors(F.col(html).outer())).select(*keys, "start", "body_start", "body_stop", "stop")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,7 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     """A new path below ``spark.checkpoint.dir``. Where that is unset, a local master has a temporary folder of its own; a cluster has to set it."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         found = _own.setdefault(app, _own.get(app) or "file://" + tempfile.mkdtemp(prefix="pagewright-"))
