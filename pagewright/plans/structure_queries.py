@@ -72,3 +72,27 @@ def anchor_block_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
     found = structure.enclosing(structure.anchors(pages, "html"), structure.blocks(pages, "html"), ["page_id"])
     return found.groupBy(F.coalesce("tag", F.lit("")).alias("tag")).agg(F.count("*").alias("anchors"), F.countDistinct("page_id").alias("pages"))
+
+
+@query("""
+    WITH i AS (SELECT l_orderkey, 'ref-' || l_linenumber AS id, l_partkey % 3 AS part, min(place) AS first FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS place FROM lineitem) GROUP BY ALL)
+    SELECT l_orderkey, (row_number() OVER (PARTITION BY l_orderkey ORDER BY first))::INT AS n, 'li' AS tag, id, true AS nested, 'Part ' || part AS text FROM i
+    UNION ALL SELECT DISTINCT l_orderkey, 0, 'p', '', false, 'Intro.' FROM lineitem""")
+def reference_item_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference items as blocks of their own, out of the division around them: an order's line items, equal ones once."""
+    items = table(spark, sf_dir, "lineitem")
+    item = F.concat(F.lit('<li id="ref-'), F.col("l_linenumber").cast("string"), F.lit('">Part '), (F.col("l_partkey") % 3).cast("string"), F.lit("</li>"))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", item.alias("item")))), lambda r: r["item"]), "")
+    articles = items.groupBy("l_orderkey").agg(F.concat(F.lit("<p>Intro.</p><div><ol>"), listed, F.lit("</ol></div>")).alias("html"))
+    found = structure.reference_blocks(articles, "html")
+    return found.select("l_orderkey", "n", "tag", F.coalesce(F.col("attrs")["id"], F.lit("")).alias("id"), "nested", "text")
+
+
+@query("""SELECT page_id, 2 AS warnings, 1 AS first_line, 'fig-' || page_id % 5 AS ids FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT page_id, 1, 1, 'fig-' || page_id % 5 FROM pages WHERE page_id % 2 = 1""")
+def missing_figure_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings of missing figures at the heads of pages; on odd pages one of two only looks like a warning."""
+    i = F.col("page_id")
+    one = F.concat(F.lit('<div class="x z2m-missing-figure-warning" id="fig-'), (i % 5).cast("string"), F.lit('">Missing.</div>'))
+    two = F.when(i % 2 == 0, '\n<p class="z2m-missing-figure-warning">Missing.</p>').otherwise('\n<p data-note="z2m-missing-figure-warning">Found.</p>')
+    found = structure.warning_blocks(table(spark, sf_dir, "pages").select("page_id", F.concat(one, two, "html").alias("html")), "html")
+    return found.groupBy("page_id").agg(F.count("*").alias("warnings"), F.min("line").alias("first_line"), F.max(F.col("attrs")["id"]).alias("ids"))
