@@ -23,8 +23,8 @@ what others are compared with.
 Defined cases: a null text is empty; texts shorter than a window are left as
 they are; rows without an id neither lose words nor cost others any, since no
 order is between them; rows that share an id never cost each other words, and
-each is cut alike; an empty table gives an empty result. Other columns are not
-read. A text is one task's work, in pieces of a megabyte; nothing else is.
+each is cut alike; an empty table gives an empty result. Ids are whole numbers.
+Other columns are not read. A text is one task's work, in pieces of a megabyte; nothing else is.
 """
 
 from __future__ import annotations
