@@ -10,10 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from pagewright.sources import shared
+
 #: What counts as a heading, as the start of an entry, and as an entry's text.
 HEADING = r"(?i)^(?:References|Bibliography|Notes and references|R\s+E\s+F\s+E\s+R\s+E\s+N\s+C\s+E\s+S)$"
 BRACKETED = r"^\[([1-9]\d{0,3})\]\s*(.*)$"
@@ -38,6 +44,8 @@ FALLBACK_ENTRIES, PASSED_OVER = 4, 2
 COLUMN_WIDTH, COLUMN_STARTS, HIGH_NUMBER = 24, 4, 20
 #: How far from its target a start may be, sidewards, above and at all.
 SIDE, ABOVE, FAR = 80, 16, 40
+#: Into how many groups cells of heights are dealt, and whether a link is settled, has only starts above it in reach, or no height.
+BUCKETS, SETTLED, OVER, FLOATING = 4096, 0, 1, 2
 
 
 def looks_like_body(text: Column) -> Column:
@@ -218,6 +226,90 @@ def _cells(value: Column, width: int) -> Column:
     return F.explode(F.array(cell - 1, cell, cell + 1))
 
 
+def _nearest(links: pa.Table, starts: pa.Table) -> pa.Table:
+    """Links of some cells with ``number``, the nearest start within reach, and ``state``.
+
+    Starts stand in order of height, once for each three columns that they may
+    be beside and once for links whose x is unknown. A link goes from its own
+    height up and down to the first start that is beside it, and on while a
+    further one could be as near, so that dense pages cost no more than sparse
+    ones. Behind a link without any, those more than ``ABOVE`` above it are
+    looked at.
+    """
+    x, y = links["x"].to_numpy(), links["y"].to_numpy()
+    states = np.where(y == 0, FLOATING, SETTLED).astype("int32")
+    numbers = np.zeros(len(x), "int64")
+    found = np.full(len(x), -1)
+    asked = np.flatnonzero(y != 0)
+    if len(asked) and starts.num_rows:
+        sx, sy, number = (starts[c].to_numpy() for c in ("sx", "sy", "number"))
+        pages = pd.factorize(pd.concat([links["page"].to_pandas(), starts["page"].to_pandas()], ignore_index=True))[0]
+        # the stretches that links look through: a page's cell of heights, and of x or of all
+        cell = lambda v: np.floor(v / SIDE)
+        shifts = [cell(sx) + k for k in (-1, 0, 1)] + ([np.full(len(sx), np.nan)] if (x[asked] == 0).any() else [])
+        row = np.tile(np.arange(len(sx)), len(shifts))
+        rows = {"page": [pages[asked], pages[len(x) :][row]], "cy": [links["cy"].to_numpy()[asked], starts["cy"].to_numpy()[row]], "cx": [np.where(x[asked] == 0, np.nan, cell(x[asked])), np.concatenate(shifts)]}
+        code = pd.DataFrame({k: np.concatenate(v) for k, v in rows.items()}).groupby(["page", "cy", "cx"], dropna=False, sort=False).ngroup().to_numpy()
+        own, row_code = code[: len(asked)], code[len(asked) :]
+        order = np.lexsort((number[row], sx[row], sy[row], row_code))
+        row, row_code = row[order], row_code[order]
+        heights = np.concatenate([y[asked], sy[row]])
+        merged = np.lexsort((np.arange(len(heights)) >= len(asked), heights, np.concatenate([own, row_code])))
+        is_start = merged >= len(asked)
+        at = np.empty(len(asked), "int64")
+        at[merged[~is_start]] = np.cumsum(is_start)[~is_start]
+        first, last = np.searchsorted(row_code, own), np.searchsorted(row_code, own, side="right")
+        stretch = _Stretch(x[asked], y[asked], sx[row], sy[row], number[row], first, last)
+        best = stretch.best(at, over=False)
+        missed = np.flatnonzero(best < 0)
+        higher = stretch.best(at, over=True, of=missed)
+        states[asked[missed[higher >= 0]]] = OVER
+        best[missed] = higher
+        found[asked] = np.where(best >= 0, row[np.maximum(best, 0)], -1)
+        numbers = np.where(found >= 0, number[np.maximum(found, 0)], 0)
+    keep = pa.array(states == SETTLED)
+    bare = lambda c: pc.if_else(keep, pa.scalar(None, links.schema.field(c).type), links[c])
+    return pa.table([links.column(0), pa.array(numbers, mask=found < 0), pa.array(states), bare("page"), bare("x"), bare("y")], names=[links.column_names[0], "number", "state", "page", "x", "y"])
+
+
+class _Stretch:
+    """Links and the starts of their stretches, in order of height."""
+
+    def __init__(self, x, y, sx, sy, number, first, last) -> None:
+        self.x, self.y, self.sx, self.sy, self.number, self.first, self.last = x, y, sx, sy, number, first, last
+
+    def best(self, at: np.ndarray, over: bool, of: np.ndarray | None = None) -> np.ndarray:
+        """The start that each link (of ``of``) points to, -1 for none: those more than ABOVE above it, or the others."""
+        of = np.arange(len(self.x)) if of is None else of
+        best, off = np.full(len(of), -1), np.full(len(of), float(FAR))
+        for step in (-1,) if over else (-1, 1):
+            live, place = np.arange(len(of)), at[of] - (step < 0)
+            while len(live):
+                inside = (place[live] >= self.first[of[live]]) & (place[live] < self.last[of[live]])
+                live = live[inside]
+                link, start = of[live], place[live]
+                high = self.sy[start] < self.y[link] - ABOVE
+                away = np.abs(self.sy[start] - self.y[link])
+                reached = (away <= off[live]) & (over | ~high)
+                live, link, start, high, away = (v[reached] for v in (live, link, start, high, away))
+                beside = (self.x[link] == 0) | (np.abs(self.sx[start] - self.x[link]) <= SIDE)
+                met = beside & (high if over else True)
+                better = live[met][self._before(link[met], start[met], best[live[met]])]
+                best[better], off[better] = place[better], np.abs(self.sy[place[better]] - self.y[of[better]])
+                place[live] += step
+        return best
+
+    def _before(self, link: np.ndarray, start: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Whether a start comes before the best one so far: by distance in height, distance below, distance sidewards, place, number."""
+        less, same = best < 0, best >= 0
+        x, y = self.x[link], self.y[link]
+        beside = lambda s: np.where(x == 0, 0.0, np.abs(self.sx[s] - x))
+        for rank in (lambda s: np.abs(self.sy[s] - y), lambda s: np.maximum(0.0, self.sy[s] - y), beside, lambda s: self.sx[s], lambda s: self.sy[s], lambda s: self.number[s]):
+            a, b = rank(start), rank(best)
+            less, same = less | (same & (a < b)), same & (a == b)
+        return less
+
+
 def located_targets(links: DataFrame, starts: DataFrame, link: str) -> DataFrame:
     """For each link the number of the start that it points to, or null: link, number.
 
@@ -228,32 +320,35 @@ def located_targets(links: DataFrame, starts: DataFrame, link: str) -> DataFrame
     sidewards, then the first by place and number. None that is more than
     ``FAR`` away in height counts.
 
-    No link meets all starts of its page. Grid cells bring it the starts within
-    reach. Whether there are any below, however far, is told by the lowest
-    start of each place; links whose height is unknown meet each place's best.
+    A link goes once to its page's cell of heights, and starts go to the three
+    cells within reach; there both are merged in order of height, and no pairs
+    are listed. Only links that have nothing but starts above them in reach ask
+    whether there are any below, however far; links whose height is unknown
+    meet each place's best.
     """
     # one start for each place; of several the lowest number
-    s = starts.groupBy("page", F.col("x").cast("double").alias("sx"), F.col("y").cast("double").alias("sy")).agg(F.min("number").alias("number"))
+    s = starts.groupBy("page", F.col("x").cast("double").alias("sx"), F.col("y").cast("double").alias("sy")).agg(F.min("number").cast("long").alias("number"))
+    s = s.where("page IS NOT NULL AND sx IS NOT NULL AND sy IS NOT NULL")
     l = links.select(link, "page", F.coalesce(F.col("x").cast("double"), F.lit(0.0)).alias("x"), F.coalesce(F.col("y").cast("double"), F.lit(0.0)).alias("y"))
+    bucket = F.pmod(F.xxhash64("page", "cy"), F.lit(BUCKETS)).alias("bucket")
+    asking = l.withColumn("cy", F.floor(F.col("y") / FAR)).select(link, "page", "x", "y", "cy", bucket)
+    giving = s.withColumn("cy", _cells(F.col("sy"), FAR)).select("page", "sx", "sy", "number", "cy", bucket)
+    types = dict(l.dtypes)
+    near = asking.groupBy("bucket").cogroup(giving.groupBy("bucket")).applyInArrow(_nearest, f"`{link}` {types[link]}, number long, state int, page {types['page']}, x double, y double")
+    near = shared.materialize(near, "nearest")  # most links are settled here
+
+    # what the places beside a link have below it and at the top
     known = F.col("x") != 0
     beside = F.abs(F.col("sx") - F.col("x"))
-    rank = F.struct(F.abs(F.col("sy") - F.col("y")).alias("off"), F.greatest(F.lit(0.0), F.col("sy") - F.col("y")).alias("below"), F.when(known, beside).otherwise(0.0).alias("beside"), F.col("sx"), F.col("sy"), F.col("number"))
-    column = F.floor(F.col("sx") / SIDE).alias("cx")
-    place = s.groupBy("page", "sx").agg(F.max("sy").alias("lowest"), F.min(F.struct((F.col("sy") < -ABOVE).alias("over"), F.abs("sy").alias("off"), F.greatest(F.lit(0.0), F.col("sy")).alias("below"), "sy", "number")).alias("top"))
-    page_wide = s.groupBy("page").agg(F.max("sy").alias("lowest"), F.min(F.struct((F.col("sy") < -ABOVE).alias("over"), F.abs("sy").alias("off"), F.greatest(F.lit(0.0), F.col("sy")).alias("below"), F.lit(0.0).alias("beside"), "sx", "sy", "number")).alias("top"))
-
-    # what each link's page, or the places beside it, have below it and at the top
-    aside = l.where(known).withColumn("cx", _cells(F.col("x"), SIDE)).join(place.withColumn("cx", column), ["page", "cx"]).where(beside <= SIDE)
-    top = F.col("top")
-    aside = aside.groupBy(link, "page", "x", "y").agg(F.max("lowest").alias("lowest"), F.min(F.struct(top["over"].alias("over"), top["off"].alias("off"), top["below"].alias("below"), beside.alias("beside"), F.col("sx"), top["sy"].alias("sy"), top["number"].alias("number"))).alias("top"))
-    wide = l.where(~known).join(page_wide, "page").select(link, "page", "x", "y", "lowest", "top")
-    reach = aside.unionByName(wide)
-
-    floating = reach.where("y = 0").select(link, F.col("top.number").alias("number"))
-    placed = reach.where("y != 0").withColumn("below", F.col("lowest") >= F.col("y") - ABOVE)
-    s = s.withColumns({"cx": F.floor(F.col("sx") / SIDE), "cy": F.floor(F.col("sy") / FAR)})
-    by_cell = placed.where(known).withColumn("cx", _cells(F.col("x"), SIDE)).withColumn("cy", _cells(F.col("y"), FAR)).join(s, ["page", "cx", "cy"]).where(beside <= SIDE)
-    by_height = placed.where(~known).withColumn("cy", _cells(F.col("y"), FAR)).join(s.drop("cx"), ["page", "cy"])
-    near = [d.where((~F.col("below") | (F.col("sy") >= F.col("y") - ABOVE)) & (F.abs(F.col("sy") - F.col("y")) <= FAR)).groupBy(link).agg(F.min(rank).alias("best")).select(link, F.col("best.number").alias("number")) for d in (by_cell, by_height)]
-    found = floating.unionByName(near[0]).unionByName(near[1])
-    return links.select(link).join(found, link, "left")
+    top = F.min(F.struct((F.col("sy") < -ABOVE).alias("over"), F.abs("sy").alias("off"), F.greatest(F.lit(0.0), F.col("sy")).alias("below"), "sy", "number")).alias("top")
+    place = s.groupBy("page", "sx").agg(F.max("sy").alias("lowest"), top)
+    wide = place.groupBy("page").agg(F.max("lowest").alias("lowest"), F.min(F.struct("top.over", "top.off", "top.below", F.lit(0.0).alias("beside"), "sx", "top.sy", "top.number")).alias("top"))
+    open_links = near.where(F.col("state") != SETTLED)
+    aside = open_links.where(known).withColumn("cx", _cells(F.col("x"), SIDE)).join(place.withColumn("cx", F.floor(F.col("sx") / SIDE)), ["page", "cx"]).where(beside <= SIDE)
+    aside = aside.groupBy(link, "state", "y").agg(F.max("lowest").alias("lowest"), F.min(F.struct("top.over", "top.off", "top.below", beside.alias("beside"), "sx", "top.sy", "top.number")).alias("top"), F.max("number").alias("number"))
+    aside = aside.unionByName(open_links.where(~known).join(wide, "page").select(link, "state", "y", "lowest", "top", "number"))
+    number = F.when(F.col("state") == FLOATING, F.col("top.number")).when(F.col("lowest") < F.col("y") - ABOVE, F.col("number"))
+    told = aside.select(link, number.alias("number"))
+    settled = near.where(F.col("state") == SETTLED).select(link, "number")
+    rest = open_links.select(link).join(told, link, "left")
+    return settled.unionByName(rest)

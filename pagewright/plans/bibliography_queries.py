@@ -66,7 +66,9 @@ def located_reference_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     link = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("link")
     x = F.when(F.col("l_linenumber") == 7, 0.0).otherwise((F.col("l_partkey") % 50) * 7.0 + 3.0)
     y = F.when(F.col("l_quantity") == 50, 0.0).otherwise(F.col("l_extendedprice") / 100.0 - 5.0)
-    links = items.groupBy(link, (F.col("l_suppkey") % 100).alias("page")).agg(F.max(x).alias("x"), F.max(y).alias("y")).groupBy("link").agg(F.min("page").alias("page"), F.min("x").alias("x"), F.min("y").alias("y"))
+    # dealt by link, so that both groupings share one shuffle
+    placed = items.select(link, (F.col("l_suppkey") % 100).alias("page"), x.alias("x"), y.alias("y")).repartition("link")
+    links = placed.groupBy("link", "page").agg(F.max("x").alias("x"), F.max("y").alias("y")).groupBy("link").agg(F.min("page").alias("page"), F.min("x").alias("x"), F.min("y").alias("y"))
     starts = orders.select((F.col("o_custkey") % 100).alias("page"), (F.col("o_orderkey") % 300).alias("number"), ((F.col("o_orderkey") % 50) * 7.0).alias("x"), (F.col("o_totalprice") / 500.0).alias("y"))
     return bibliography.located_targets(links, starts, "link")
 

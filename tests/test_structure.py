@@ -1,5 +1,6 @@
 """Blocks, anchors, bibliographies and citation ranges: offsets, guards, folds."""
 
+import random
 import re
 
 import pytest
@@ -229,3 +230,20 @@ def test_anchors_in_their_blocks(spark):
     got = structure.enclosing(structure.anchors(df, "html"), structure.blocks(df, "html"), ["id"]).orderBy("n").collect()
     assert [(r["label"], r["href"], r["tag"]) for r in got] == [("b", "#x", "p"), ("c", "y", "p"), ("d", "z", None), ("e", None, "div")]
     assert re.findall("<a", html) == ["<a"] * 4
+
+
+def test_located_targets_on_a_dense_page(spark):
+    """Thousands of starts within reach of each link, all ties, links without a place and starts far below; against brute force. No pairs are made."""
+    rng = random.Random(5)
+    places = [(rng.randrange(2), rng.randrange(60), rng.randrange(40) * 10.0, rng.choice([rng.randrange(-60, 500) / 2, rng.randrange(100, 104) / 1.0])) for _ in range(3000)] + [(2, 1, 50.0, 10.0), (2, 2, 70.0, 900.0), (3, 1, 50.0, 10.0)]
+    wanted = [(i, rng.randrange(2), rng.choice([0.0, rng.randrange(1, 450) * 1.0]), rng.choice([0.0, rng.randrange(-160, 800) / 2])) for i in range(1500)] + [(1500, 2, 60.0, 40.0), (1501, 3, 60.0, 40.0), (1502, 2, 0.0, 40.0), (1503, 3, 0.0, 40.0)]
+
+    def expected(page, x, y):
+        near = [(sy < y - 16, abs(sy - y), max(0.0, sy - y), abs(sx - x) if x else 0.0, sx, sy, n) for p, n, sx, sy in places if p == page and (not x or abs(sx - x) <= 80)]
+        best = min(near, default=None)
+        return best and (best[-1] if y == 0 or best[1] <= 40 else None)
+
+    starts = spark.createDataFrame(places, "page int, number long, x double, y double")
+    got = dict(bibliography.located_targets(spark.createDataFrame(wanted, "link long, page int, x double, y double"), starts, "link").collect())
+    assert got == {i: expected(page, x, y) for i, page, x, y in wanted}
+    assert (got[1500], got[1501], got[1502], got[1503]) == (None, 1, None, 1)
