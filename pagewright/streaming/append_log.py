@@ -11,7 +11,7 @@ without lines has no last entry; nulls stay nulls.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,11 +29,22 @@ def append_stream(records: DataFrame, path: str, checkpoint: str) -> StreamingQu
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """batch, file, line (from 1), value and whether the line is the cut end of its file. A file is one task's part of one batch."""
-    files = spark.read.text(path, wholetext=True).select("batch", F.col("_metadata.file_path").alias("file"), "value")
-    whole = F.col("value").rlike(r"[\n\r]\z")
-    rows = files.select("batch", "file", whole.alias("_whole"), F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("_at", "line_text"), F.size(F.split("value", r"\r\n|\n|\r")).alias("_n"))
-    return rows.where("trim(line_text) != ''").select("batch", "file", (F.col("_at") + 1).alias("line"), F.col("line_text").alias("value"), (~F.col("_whole") & (F.col("_at") + 1 == F.col("_n"))).alias("last"))
+    """batch, file, line (from 1), value and whether the line is the cut end of its file. A file is one task's part of one batch.
+
+    Files are read line by line and may be of any size. A file's lines are
+    numbered by a window over its blocks and the order within them, which
+    spills. Its last line is cut off if the lines have a byte more than the
+    file, the end of the line that isn't there.
+    """
+    meta = lambda c: F.col(f"_metadata.{c}")
+    found = spark.read.option("lineSep", "\n").text(path).select("batch", meta("file_path").alias("file"), meta("file_block_start").alias("_block"), meta("file_size").alias("_size"), F.monotonically_increasing_id().alias("_id"), "value")
+    # a line may have others in it that end in a carriage return alone
+    parts = F.posexplode(F.split(F.regexp_replace("value", r"\r\z", ""), "\r")).alias("_part", "line_text")
+    found = found.select("batch", "file", "_block", "_size", "_id", (F.octet_length("value") + 1).cast("long").alias("_bytes"), F.col("value").endswith("\r").alias("_whole"), parts)
+    order = Window.partitionBy("batch", "file").orderBy("_block", "_id", "_part")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = found.select("batch", "file", F.row_number().over(order).alias("line"), F.col("line_text").alias("value"), (F.lead("line_text").over(order).isNull() & ~F.col("_whole") & (F.sum(F.when(F.col("_part") == 0, F.col("_bytes"))).over(so_far) > F.col("_size"))).alias("last"))
+    return found.where("trim(value) != ''")
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:

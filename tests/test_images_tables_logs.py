@@ -4,6 +4,7 @@ import base64
 import json
 import struct
 import tempfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +138,24 @@ def test_a_stream_appends_what_a_batch_does(spark):
 def test_shared_folder(spark):
     assert shared.shared_path(spark, "x") != shared.shared_path(spark, "x")
     assert json.dumps(shared.shared_path(spark, "tag")).count("/tag-") == 1
+
+
+def test_long_files_of_a_log_are_read_by_lines(spark):
+    """A file of several blocks, with blank lines, all kinds of line ends and a cut end: numbered through; no row holds the whole file."""
+    path, n = tempfile.mkdtemp(prefix="pagewright-test-"), 30_000
+    ends = ["\n", "\r\n", "\r", "\n\n"]
+    text = "".join(f'{{"id": {i}, "name": "é"}}' + ends[i % 4] for i in range(n))
+    at = [line for i in range(n) for line in ([i] if i % 4 < 3 else [i, None])]
+    Path(f"{path}/batch=0").mkdir()
+    Path(f"{path}/batch=0/part-0.txt").write_bytes((text + '{"id": 1, "na').encode())
+    Path(f"{path}/batch=1").mkdir()
+    Path(f"{path}/batch=1/part-0.txt").write_bytes('{"id": 7, "name": "é"}'.encode()[:-3])
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000b")
+    try:
+        got = append_log.read(spark, path, "id int, name string").select("batch", "line", "id").collect()
+        cut = append_log.lines(spark, path).where("last").select("batch", "line").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    assert sorted((r["line"], r["id"]) for r in got) == [(k + 1, i) for k, i in enumerate(at) if i is not None]
+    assert sorted(map(tuple, cut)) == [(0, len(at) + 1), (1, 1)] and {r["batch"] for r in got} == {0}
