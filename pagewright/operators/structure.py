@@ -21,18 +21,18 @@ from pagewright.functions import markup
 BLOCK = "n: int, start: int, stop: int, line: int, tag: string, attrs: map<string,string>, raw: string, text: string"
 
 
-def _row(n: int, html: str, e: markup.Element) -> tuple:
+def _row(n: int, html: str, e: markup.Element, open_entities: bool = True) -> tuple:
     raw = html[e.start : e.stop]
-    return n, e.start, e.stop, e.line, e.tag, e.attrs, raw, markup.visible(raw)
+    return n, e.start, e.stop, e.line, e.tag, e.attrs, raw, markup.visible(raw, open_entities)
 
 
 @udtf(returnType=BLOCK)
 class MarkupBlocks:
-    """Blocks of a document, in order; with ``overlapping``, blocks inside of blocks too."""
+    """Blocks of a document, in order; with ``overlapping``, blocks inside of blocks too; ``open_entities`` as in ``markup.visible``."""
 
-    def eval(self, html: str, overlapping: bool) -> Iterator[tuple]:
+    def eval(self, html: str, overlapping: bool, open_entities: bool = True) -> Iterator[tuple]:
         for n, e in enumerate(markup.elements(html or "", overlapping=bool(overlapping))):
-            yield _row(n, html, e)
+            yield _row(n, html, e, open_entities)
 
 
 @udtf(returnType=f"{BLOCK}, nested: boolean")
@@ -79,9 +79,9 @@ def register(spark: SparkSession) -> None:
         spark.udtf.register(name, function)
 
 
-def blocks(df: DataFrame, html: str, overlapping: bool = False) -> DataFrame:
+def blocks(df: DataFrame, html: str, overlapping: bool = False, open_entities: bool = True) -> DataFrame:
     """The columns of ``df`` beside each of its blocks."""
-    return df.lateralJoin(MarkupBlocks(F.col(html).outer(), F.lit(overlapping)))
+    return df.lateralJoin(MarkupBlocks(F.col(html).outer(), F.lit(overlapping), F.lit(open_entities)))
 
 
 def reference_blocks(df: DataFrame, html: str) -> DataFrame:

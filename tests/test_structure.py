@@ -247,3 +247,15 @@ def test_located_targets_on_a_dense_page(spark):
     got = dict(bibliography.located_targets(spark.createDataFrame(wanted, "link long, page int, x double, y double"), starts, "link").collect())
     assert got == {i: expected(page, x, y) for i, page, x, y in wanted}
     assert (got[1500], got[1501], got[1502], got[1503]) == (None, 1, None, 1)
+
+
+def test_open_entities_stay_if_asked(spark):
+    """A bare ``&amp`` is decoded as browsers do, or stays; those with a semicolon are decoded either way, once."""
+    html = "<p>a &amp b &amp; &lt;c&gt; &amp;lt; &#233; &#xe9; &eacute; &nosuch; &notit; d&amp</p>"
+    df = spark.createDataFrame([(html,)], "html string")
+    shown = lambda **k: [r["text"] for r in structure.blocks(df, "html", **k).collect()]
+    assert shown() == ["a & b & <c> &lt; é é é &nosuch; ¬it; d&"]
+    assert shown(open_entities=False) == ["a &amp b & <c> &lt; é é é &nosuch; &notit; d&amp"]
+    structure.register(spark)
+    df.createOrReplaceTempView("entities")
+    assert [r[0] for r in spark.sql("SELECT text FROM entities, LATERAL markup_blocks(html, false)").collect()] == shown()
