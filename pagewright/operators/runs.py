@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.sources import shared
+
 
 def ordered_union(sources: list[DataFrame], key: str, order: str) -> DataFrame:
     """key, source, place: each key once, from the first source that has it, in order."""
@@ -72,12 +79,68 @@ def worsened(deltas: Column, lower_is_better: list[str]) -> Column:
     return F.map_filter(deltas, lambda k, v: F.array_contains(F.array(*[F.lit(x) for x in lower_is_better]), k) & (v > 0))
 
 
+_NO_WORD = re.compile(r"[^a-z0-9à-öø-ÿ]+")
+
+
 def title_key(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9à-öø-ÿ]+", " "))
+    return F.trim(F.regexp_replace(F.lower(text), _NO_WORD.pattern, " "))
 
 
 #: A fragment so long counts whole if a title contains it; words that match begin alike, with so many letters at least.
 CONTAINED, ALIKE = 32, 4
+#: Fixed value: into how many groups titles are dealt to be read.
+BUCKETS = 1024
+
+
+def _long_words(text: str) -> list[str]:
+    return [w for w in text.split(" ") if len(w) >= ALIKE]
+
+
+def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Titles as ``title_key`` has them, and the distinct beginnings of their long words."""
+    for b in batches:
+        keys = [None if x is None else _NO_WORD.sub(" ", x.lower()).strip(" ") for x in b.column(1).to_pylist()]
+        begins = [list({w[:ALIKE] for w in _long_words(k or "")}) for k in keys]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.string()), pa.array(begins, pa.list_(pa.string()))], names=["t", "tk", "tb"])
+
+
+def _in_order(words: list[str], title: list[str], places: dict[str, list[int]]) -> int:
+    """How many of the words a title has in order; each takes the first that begins alike behind the one before."""
+    at = n = 0
+    for w in words:
+        near = places.get(w[:ALIKE], ())
+        for p in islice(near, bisect_left(near, at), None):
+            if title[p].startswith(w) or w.startswith(title[p]):
+                at, n = p + 1, n + 1
+                break
+    return n
+
+
+def _read_titles(titles: pa.Table, asked: pa.Table) -> pa.Table:
+    """The fragments that each title of a group has to be asked for: f, t, size, n and whether it holds the fragment whole.
+
+    Titles that lack more of a fragment's beginnings than may be missing aren't read.
+    """
+    fragments, pairs = {}, {}
+    for r in zip(*(asked[c].to_pylist() for c in ("f", "title", "missing", "fk"))):
+        if r[3] is None:
+            pairs.setdefault(r[1], []).append(r[0])
+        else:
+            words = _long_words(r[3])
+            fragments[r[0]] = (r[2], r[3], words, {w[:ALIKE] for w in words})
+    rows = []
+    for t, text in zip(titles["t"].to_pylist(), titles["tk"].to_pylist()):
+        if t not in pairs or text is None:
+            continue
+        title, places = _long_words(text), {}
+        for i, w in enumerate(title):
+            places.setdefault(w[:ALIKE], []).append(i)
+        for f in pairs[t]:
+            missing, key, words, begins = fragments[f]
+            if len(begins - places.keys()) <= missing:
+                rows.append((f, t, len(words), _in_order(words, title, places), len(key) >= CONTAINED and key in text))
+    kinds = [asked.schema.field("f").type, asked.schema.field("title").type, pa.int32(), pa.int32(), pa.bool_()]
+    return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["f", "t", "size", "n", "whole"])
 
 
 def title_candidates(fragments: DataFrame, titles: DataFrame, fragment_id: str, title_id: str, text: str, most: int = 8, least: int = 6, share: float = 0.78) -> DataFrame:
@@ -95,25 +158,24 @@ def title_candidates(fragments: DataFrame, titles: DataFrame, fragment_id: str,
     f = fragments.select(F.col(fragment_id).alias("f"), title_key(F.col(text)).alias("fk")).withColumn("fw", words("fk"))
     f = f.where((F.size("fw") >= least) | (F.char_length("fk") >= CONTAINED))
     begins = lambda ws: F.transform(ws, lambda w: F.substring(w, 1, ALIKE))
-    t = titles.select(F.col(title_id).alias("t"), title_key(F.col(text)).alias("tk")).withColumn("tw", words("tk")).withColumn("tb", F.array_distinct(begins(F.col("tw"))))
-    missing = F.greatest(F.lit(1), F.floor(F.size("fw") - F.greatest(F.lit(least), F.lit(share) * F.size("fw")))).alias("missing")
-    counted = f.select("f", missing, F.explode(begins(F.col("fw"))).alias("w")).groupBy("f", "missing", "w").agg(F.count("*").alias("times"))
+    missing = F.greatest(F.lit(1), F.floor(F.size("fw") - F.greatest(F.lit(least), F.lit(share) * F.size("fw"))))
+    f = f.withColumn("missing", missing)
+    t = titles.select(F.col(title_id).alias("t"), F.col(text).alias("text"))
+    t = shared.materialize(t.mapInArrow(_taken_apart, f"t {dict(t.dtypes)['t']}, tk string, tb array<string>"), "titles")  # read three times, taken apart once
+    counted = f.select("f", "missing", F.explode(begins(F.col("fw"))).alias("w")).groupBy("f", "missing", "w").agg(F.count("*").alias("times"))
     have = t.select("t", F.explode("tb").alias("w"))
-    known = counted.join(have.groupBy("w").agg(F.count("*").alias("df")), "w", "left")
+    known = counted.join(have.join(counted.select("w").distinct(), "w", "left_semi").groupBy("w").agg(F.count("*").alias("df")), "w", "left")
     rarest = Window.partitionBy("f").orderBy(F.coalesce("df", F.lit(0)), "w").rowsBetween(Window.unboundedPreceding, -1)
     index = known.withColumn("before", F.coalesce(F.sum("times").over(rarest), F.lit(0))).where("before <= missing")
-    pairs = index.join(have, "w").select("f", "missing", "t").distinct().join(f, "f").join(t, "t")
-    # before they are read word by word, titles that lack too many beginnings are left out
-    pairs = pairs.where(F.size(F.array_except(begins(F.col("fw")), "tb")) <= F.col("missing"))
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"))
-
-    def step(acc: Column, w: Column) -> Column:
-        rest = F.slice(F.col("tw"), acc["at"] + 1, F.greatest(F.size("tw") - acc["at"], F.lit(0)))
-        place = F.array_position(F.transform(rest, lambda x: F.startswith(x, w) | F.startswith(w, x)), True)
-        found = place > 0
-        return F.struct(F.when(found, acc["at"] + place.cast("int")).otherwise(acc["at"]).alias("at"), (acc["n"] + found.cast("int")).alias("n"))
-
-    scored = pairs.select("f", "t", F.size("fw").alias("size"), F.aggregate("fw", start, step, lambda a: a["n"]).alias("n"), ((F.char_length("fk") >= CONTAINED) & F.contains("tk", "fk")).alias("whole"))
+    index = shared.materialize(index.select("f", "w"), "rarest-words")
+    # titles, the pairs and each fragment once are dealt to groups of titles: no text is repeated by pairs
+    bucket = F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).alias("bucket")
+    met = index.join(have, "w").select("f", "t").distinct().select(bucket, "f", "t")
+    kept = met.select("bucket", "f").distinct().join(f.select("f", "missing", "fk"), "f")
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    types = dict(t.dtypes) | dict(f.dtypes)
+    asked = met.select(F.col("bucket").alias("group"), "f", F.col("t").alias("title"), none("missing", "long"), none("fk", "string")).unionByName(kept.select(F.col("bucket").alias("group"), "f", none("title", types["t"]), F.col("missing").cast("long").alias("missing"), "fk"))
+    scored = t.select("t", "tk", bucket).groupBy("bucket").cogroup(asked.groupBy("group")).applyInArrow(_read_titles, f"f {types['f']}, t {types['t']}, size int, n int, whole boolean")
     good = scored.where(F.col("whole") | ((F.col("size") >= least) & (F.col("n") >= least) & (F.col("n") >= F.lit(share) * F.col("size"))))
     good = good.withColumn("score", F.when(F.col("whole"), 1.0).otherwise(F.round(F.col("n") / F.col("size"), 4)))
     place = F.row_number().over(Window.partitionBy("f").orderBy(F.desc("score"), "t"))

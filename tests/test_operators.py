@@ -1,9 +1,11 @@
+import random
+
 import json
 
 from pyspark.sql import functions as F
 
 from pagewright.functions import language, ocr, text
-from pagewright.operators import citations, history, ledgers, matching, pages, repairs, sequences, trees
+from pagewright.operators import citations, history, ledgers, matching, pages, repairs, runs, sequences, trees
 from pagewright.sources import readers, writers
 from pagewright.streaming import ledger
 
@@ -216,3 +218,26 @@ def test_wrongly_decoded_degrees_and_slugs_of_any_script(spark):
     r = r.select(F.col("a").alias("html"), text.slug(F.col("b")).alias("b"), text.slug(F.col("c")).alias("c"))
     r = repairs.polish(r, "html").first()
     assert (r["polished"], r["b"], r["c"]) == ("20 °C", "Об_одной_статье", "article")
+
+
+def test_title_candidates_in_long_titles(spark):
+    """Titles of thousands of words that hold most beginnings of every fragment; against brute force over all pairs."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randrange(3, 8))) for _ in range(200)]
+    titles = [(i, " ".join(rng.choices(words, k=rng.choice([0, 20, 300, 3000])))) for i in range(60)] + [(60, None)]
+    fragments = [(i, " ".join(rng.choices(words, k=rng.choice([4, 9, 30])))) for i in range(30)] + [(30 + i, " ".join(t.split()[3:20])) for i, t in titles[:20]]
+
+    def score(fragment, title):
+        f, t = ([w for w in x.split() if len(w) >= 4] for x in (fragment, title))
+        if len(fragment) >= 32 and f and fragment in title:
+            return 1.0
+        at = n = 0
+        for w in f:
+            place = next((p for p in range(at, len(t)) if t[p].startswith(w) or w.startswith(t[p])), None)
+            at, n = (at, n) if place is None else (place + 1, n + 1)
+        return round(n / len(f), 4) if len(f) >= 6 and n >= 6 and n >= 0.78 * len(f) else 0
+
+    want = {(f, t): s for f, x in fragments for t, y in titles if y is not None and (s := score(x, y))}
+    best = {f: sorted((-s, t) for (g, t), s in want.items() if g == f)[:8] for f, _ in fragments}
+    got = runs.title_candidates(spark.createDataFrame(fragments, "f int, x string"), spark.createDataFrame(titles, "t long, x string"), "f", "t", "x").collect()
+    assert {(r["f"], r["t"], r["score"]) for r in got} == {(f, t, -s) for f, rows in best.items() for s, t in rows} and len(want) > 50
