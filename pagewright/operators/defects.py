@@ -13,12 +13,13 @@ from pagewright.sources import shared
 
 @dataclass(frozen=True)
 class Rule:
-    """A defect with an id, how severe it is, and what shows it."""
+    """A defect with an id, how severe it is, and what shows it. ``needs`` is a part that whatever matches has: texts without it aren't searched."""
 
     id: str
     severity: str
     check: str
     pattern: str
+    needs: str = ""
 
 
 #: A seed of rules; a corpus brings its own.
@@ -43,11 +44,15 @@ def detect(df: DataFrame, keys: list[str], text: Column, rules: Iterable[Rule] =
     """One row per document and rule that it breaks: keys, id, severity, check, hits, snippet.
 
     All rules are tested in one scan; a document's broken rules leave it as an
-    array, so rows are made only for what was found.
+    array, so rows are made only for what was found. A text is searched to a
+    rule's first match; only where there is one are all of them counted.
     """
-    found = F.array(*[F.struct(F.lit(r.id).alias("id"), F.lit(r.severity).alias("severity"), F.lit(r.check).alias("check"), F.regexp_count("text", F.lit(r.pattern)).cast("long").alias("hits"), F.regexp_extract("text", f"({r.pattern})", 1).alias("snippet")) for r in rules])
+    text_ = F.col("text")
+    holds = lambda r: text_.contains(r.needs) & text_.rlike(r.pattern) if r.needs else text_.rlike(r.pattern)
+    hit = lambda r: F.struct(F.lit(r.id).alias("id"), F.lit(r.severity).alias("severity"), F.lit(r.check).alias("check"), F.regexp_count("text", F.lit(r.pattern)).cast("long").alias("hits"), F.regexp_extract("text", f"({r.pattern})", 1).alias("snippet"))
+    found = F.array_compact(F.array(*[F.when(holds(r), hit(r)) for r in rules]))
     base = df.select(*keys, text.alias("text"))
-    rows = base.select(*keys, F.explode(F.filter(found, lambda x: x["hits"] > 0)).alias("d"))
+    rows = base.select(*keys, F.explode(found).alias("d"))
     return rows.select(*keys, "d.*")
 
 

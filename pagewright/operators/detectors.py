@@ -20,31 +20,31 @@ from pagewright.operators import audits, citations, defects, pages
 #: Over the visible text of a page: at most one row per rule and page.
 TEXT_RULES: tuple[defects.Rule, ...] = (
     defects.Rule("P24X", "info", "end_matter_heading", r"(?i)\b(?:acknowledge?ments|funding|conflicts? of interest)\b"),
-    defects.Rule("P35", "warning", "replacement_character", r"�"),
-    defects.Rule("P52", "warning", "doi_split_after_slash", r"\b10\.[0-9]{4,9}/ +[a-z0-9]+[./-][a-z0-9]"),
-    defects.Rule("P64", "warning", "mail_split_before_suffix", r"\b[a-z]+ (?:v|i|x|ix|vi)@[a-z]"),
+    defects.Rule("P35", "warning", "replacement_character", r"�", needs="�"),
+    defects.Rule("P52", "warning", "doi_split_after_slash", r"\b10\.[0-9]{4,9}/ +[a-z0-9]+[./-][a-z0-9]", needs="10."),
+    defects.Rule("P64", "warning", "mail_split_before_suffix", r"\b[a-z]+ (?:v|i|x|ix|vi)@[a-z]", needs="@"),
     defects.Rule("P65", "error", "runaway_mark", r"[!?]{6,}"),
-    defects.Rule("P74", "error", "runaway_macro", r"(?:\\[a-z]+\{){6,}"),
-    defects.Rule("P75", "warning", "doi_joined_to_prose", r"\b10\.[0-9]{4,9}/[A-Za-z0-9.]+[0-9](?:The|This|We|In)\b"),
+    defects.Rule("P74", "error", "runaway_macro", r"(?:\\[a-z]+\{){6,}", needs="\\"),
+    defects.Rule("P75", "warning", "doi_joined_to_prose", r"\b10\.[0-9]{4,9}/[A-Za-z0-9.]+[0-9](?:The|This|We|In)\b", needs="10."),
     defects.Rule("P76", "warning", "detached_accent", r"[A-Za-z][ ]?[´¨˜][ ]?[a-z]"),
     defects.Rule("P81", "warning", "page_header_in_text", r"(?i)\bpage [0-9]+ of [0-9]+\b"),
     defects.Rule("P84", "warning", "escaped_markup", r"(?i)<sup>|</sup>"),
-    defects.Rule("P86", "warning", "mail_split_after_dot", r"@[A-Za-z0-9-]+\. [a-z]{2,4}\b"),
-    defects.Rule("P88", "warning", "domain_split", r"\bwww\. [a-z]"),
-    defects.Rule("P89", "warning", "mail_split_after_at", r"[A-Za-z0-9._%+-]+@ [A-Za-z0-9-]+\.[a-z]{2,}"),
+    defects.Rule("P86", "warning", "mail_split_after_dot", r"@[A-Za-z0-9-]+\. [a-z]{2,4}\b", needs="@"),
+    defects.Rule("P88", "warning", "domain_split", r"\bwww\. [a-z]", needs="www. "),
+    defects.Rule("P89", "warning", "mail_split_after_at", r"[A-Za-z0-9._%+-]+@ [A-Za-z0-9-]+\.[a-z]{2,}", needs="@ "),
     defects.Rule("R08", "info", "glued_suffix", r"\b[a-z]{4,}(?:iii|vii)\b"),
-    defects.Rule("R11", "info", "broken_hyphen", r"[a-z]- [a-z]{2,}"),
-    defects.Rule("R12", "info", "split_micro_unit", r"\b[0-9]+ ?µ [a-zA-Z]\b"),
+    defects.Rule("R11", "info", "broken_hyphen", r"[a-z]- [a-z]{2,}", needs="- "),
+    defects.Rule("R12", "info", "split_micro_unit", r"\b[0-9]+ ?µ [a-zA-Z]\b", needs="µ"),
 )
 
 #: Over the markup itself.
 MARKUP_RULES: tuple[defects.Rule, ...] = (
     defects.Rule("P15", "info", "links_without_target_style", r"(?i)<a\b[^>]*href=[\"']#"),
-    defects.Rule("P28", "error", "tex_superscript_citation", r"\\\(\s*\^\{?[0-9]{1,3}"),
+    defects.Rule("P28", "error", "tex_superscript_citation", r"\\\(\s*\^\{?[0-9]{1,3}", needs="\\("),
     defects.Rule("P34", "error", "double_closed_anchor", r"(?i)</a>\s*</a>"),
     defects.Rule("P63", "error", "bracket_citation_is_page_link", r"(?i)<a\b[^>]*href=[\"']#page-[^>]*>\s*\[[0-9]"),
     defects.Rule("P49", "warning", "digit_of_table_reference_linked", r"(?i)\btable\s*<a\b[^>]*>[0-9]+</a>"),
-    defects.Rule("R14", "error", "sentinel", r"@@[A-Z_]{4,}@@"),
+    defects.Rule("R14", "error", "sentinel", r"@@[A-Z_]{4,}@@", needs="@@"),
 )
 
 

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from pagewright.functions import language, ocr, text
-from pagewright.operators import citations, history, ledgers, matching, pages, repairs, runs, sequences, trees
+from pagewright.operators import citations, defects, detectors, history, ledgers, matching, pages, repairs, runs, sequences, trees
 from pagewright.sources import readers, writers
 from pagewright.streaming import ledger
 
@@ -241,3 +241,17 @@ def test_title_candidates_in_long_titles(spark):
     best = {f: sorted((-s, t) for (g, t), s in want.items() if g == f)[:8] for f, _ in fragments}
     got = runs.title_candidates(spark.createDataFrame(fragments, "f int, x string"), spark.createDataFrame(titles, "t long, x string"), "f", "t", "x").collect()
     assert {(r["f"], r["t"], r["score"]) for r in got} == {(f, t, -s) for f, rows in best.items() for s, t in rows} and len(want) > 50
+
+
+def test_rules_need_what_their_matches_have(spark):
+    """A rule's needed part is in whatever its pattern matches, so a rule with it finds what it finds without; texts without the part aren't searched."""
+    shown = ["a � b", "see 10.1234/ abc.d there", "jane vi@x", r"\a{\b{\c{\d{\e{\f{", "10.1234/ab.9The end", "x@ab. de", "www. x", "joe@ ab.de", "con- tinue", "5 µ m", r"\( ^{12", "@@SOME_MARK@@", "@@ 10. - www. µ", "", None]
+    df = spark.createDataFrame(list(enumerate(shown)), "i int, text string")
+    rules = (*detectors.TEXT_RULES, *detectors.MARKUP_RULES)
+    plain = [defects.Rule(r.id, r.severity, r.check, r.pattern) for r in rules]
+    rows = lambda rs: sorted(map(tuple, defects.detect(df, ["i"], F.col("text"), rs).collect()))
+    assert rows(rules) == rows(plain)
+    assert {r.id for r in rules if r.needs} <= {r[1] for r in rows(rules)}
+    # "(a|a)*b" takes exponential time on such a text, were it searched
+    slow = spark.createDataFrame([(0, "a" * 40)], "i int, text string")
+    assert defects.detect(slow, ["i"], F.col("text"), [defects.Rule("S", "info", "slow", "(?:a|a)*b", "b")]).count() == 0
