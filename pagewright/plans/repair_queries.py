@@ -88,7 +88,9 @@ def mended_table_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = put(_DATA, n("p_partkey"), n("p_size"))
     broken = put(_BROKEN, F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise("Author name"))
     html = F.concat(F.lit(f"<table>{_CLEAN}"), data, broken, data, F.lit("</table>"))
-    return table(spark, sf_dir, "part").select("p_partkey", F.md5(F.encode(table_repairs.mended_headers(html), "UTF-8")).alias("html_md5"))
+    # a small file of many rows would be one task's
+    parts = table(spark, sf_dir, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return parts.select("p_partkey", F.md5(F.encode(table_repairs.mended_headers(html), "UTF-8")).alias("html_md5"))
 
 
 def _put(text, values):

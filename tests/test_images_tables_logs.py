@@ -159,3 +159,15 @@ def test_long_files_of_a_log_are_read_by_lines(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", block)
     assert sorted((r["line"], r["id"]) for r in got) == [(k + 1, i) for k, i in enumerate(at) if i is not None]
     assert sorted(map(tuple, cut)) == [(0, len(at) + 1), (1, 1)] and {r["batch"] for r in got} == {0}
+
+
+def test_tables_of_a_small_file_are_mended_by_several_tasks(spark):
+    """A file too small to be split has many tables; likeness with its bounds is that of the whole comparison."""
+    from difflib import SequenceMatcher
+
+    from pagewright.plans import repair_queries
+
+    assert repair_queries.mended_table_headers(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
+    for a, b in (("yearofpublication", "yearofpublcation"), ("meanage", "yearof"), ("", "a"), ("abcd", "dcba")):
+        ratio = SequenceMatcher(None, a, b).ratio()
+        assert tables.alike(a, b, 0.5) == (ratio if ratio >= 0.5 else 0)
