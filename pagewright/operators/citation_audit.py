@@ -1,8 +1,9 @@
 """The family of defects that ranges without links make, from blocks.
 
-A block is judged by itself, in one Arrow pass. What a document's defects are is
-then a matter of tables: where its bibliography begins, which block of each
-kind comes first, which targets its references have.
+A block is judged by itself. What a document's defects are is then a matter of
+where its bibliography begins, which block of each kind comes first and which
+targets its references have: over tables of blocks a window and aggregates, over
+whole documents a pass that judges no block behind the one that counts.
 
 Defined cases: a document without blocks has no defects; a document's first
 block of a kind counts, and body comes before float, float before math.
@@ -13,22 +14,13 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructType
 
-from pagewright.functions import citation_ranges
+from pagewright.functions import citation_documents, citation_ranges
+from pagewright.functions.citation_documents import ASIDE, KINDS, REFERENCES, SIGNS
 
 from . import structure
 
-#: How bibliographies are headed, in the languages of the documents.
-REFERENCES = r"(?iu)^\s*(?:references|bibliography|works cited|referencias|références|bibliografie|bibliografía|literatur|literaturverzeichnis|referenzen|Литература|Список литературы|Источники)\s*$"
-#: Formulas that are citations, and citations that recognition broke.
-LATEX_CITATION = r"\\\(\^\{[\d,\s\-–—]+\}\\\)"
-BROKEN_CITATION = r"(?i)\btask\.\s+Sec\.|\bflagship models\s+6,000\b"
-#: Classes of blocks that aren't the article's body.
-ASIDE = ("z2m-front-matter", "z2m-affiliations", "z2m-footnote")
-SIGNS = {"P28": ("raw", LATEX_CITATION), "P32": ("text", BROKEN_CITATION)}
-#: What comes first counts first.
-KINDS = ("body", "float", "math")
 SEVERITY = {"P04": "error", "P04N": "warning", "P04R": "warning", "P04T": "warning", "P04M": "warning", "P28": "error", "P32": "warning"}
 
 
@@ -82,11 +74,16 @@ def citation_defects(blocks: DataFrame, keys: list[str], references: DataFrame |
         found = found.drop("targets").join(structure.reference_numbers(references, keys).withColumnRenamed("numbers", "targets"), keys, "left")
     none = F.array().cast("array<long>")
     found = found.withColumns({"targets": F.coalesce("targets", none), "b": F.coalesce(*KINDS), "kind": F.coalesce(*[F.when(F.col(k).isNotNull(), k) for k in KINDS])})
+    return _defects(found.withColumn("noted", _only_footnotes(F.coalesce("b.raw", F.lit("")), F.col("footnotes"))), keys)
+
+
+def _defects(found: DataFrame, keys: list[str]) -> DataFrame:
+    """The defects of documents, of each its first range ``b``, the range's kind, whether it names footnotes alone, its targets and where its signs are."""
+    none = F.array().cast("array<long>")
     missing = F.array_except("b.numbers", "targets")
     cited, known = F.size("b.numbers") > 0, F.size("targets") > 0
     strange = cited & known & ~F.arrays_overlap("b.numbers", "targets")
-    noted = _only_footnotes(F.coalesce("b.raw", F.lit("")), F.col("footnotes"))
-    range_id = _range_id(F.col("kind"), known, cited & (F.size(missing) > 0), strange, noted)
+    range_id = _range_id(F.col("kind"), known, cited & (F.size(missing) > 0), strange, F.col("noted"))
     rows = [F.when(range_id.isNotNull(), F.struct(range_id.alias("id"), F.col("b.n").alias("n"), F.col("b.numbers").alias("numbers"), F.when(range_id == "P04R", missing).otherwise(none).alias("missing")))]
     rows += [F.when(F.col(name).isNotNull(), F.struct(F.lit(name).alias("id"), F.col(name).alias("n"), none.alias("numbers"), none.alias("missing"))) for name in SIGNS]
     severity = F.create_map(*[F.lit(x) for pair in SEVERITY.items() for x in pair])
@@ -94,6 +91,22 @@ def citation_defects(blocks: DataFrame, keys: list[str], references: DataFrame |
     return out.withColumn("severity", severity[F.col("id")])
 
 
+_FOUND = StructType().add("b", StructType().add("n", IntegerType()).add("numbers", ArrayType(LongType()))).add("kind", StringType()).add("noted", BooleanType()).add("targets", ArrayType(LongType()))
+for _name in SIGNS:
+    _FOUND = _FOUND.add(_name, IntegerType())
+
+
+@F.udf(_FOUND, useArrow=False)
+def _summary(html: str | None) -> tuple:
+    """Rows come in small batches, so that long documents don't add up."""
+    return citation_documents.summary(html or "")
+
+
+def document_defects(df: DataFrame, keys: list[str], html: str) -> DataFrame:
+    """``citation_defects`` of documents by their own markup: no table of blocks is made, and none is shuffled. ``keys`` tell documents apart."""
+    return _defects(df.select(*keys, _summary(html).alias("_found")).select(*keys, "_found.*"), keys)
+
+
 @F.pandas_udf(BooleanType())
 def _only_footnotes(raw: pd.Series, footnotes: pd.Series) -> pd.Series:
     return pd.Series([citation_ranges.only_footnotes(citation_ranges.Block("", {}, r, ""), set(f)) for r, f in zip(raw, footnotes, strict=True)])

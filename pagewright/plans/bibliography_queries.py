@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.operators import bibliography, citation_audit, frontmatter, structure
 
-from .registry import query, table
+from .registry import dealt, query, table
 
 
 @query()
@@ -102,14 +102,16 @@ _A, _B = "l_linenumber", "(l_linenumber + 1 + l_suppkey % 5)"
     UNION ALL SELECT l_orderkey, sign, CASE WHEN sign = 'P28' THEN 'error' ELSE 'warning' END, min(n)::INT, '', '' FROM k WHERE sign != '' GROUP BY l_orderkey, sign""")
 def citation_range_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranges without links in articles: one per order, a block per line item, and as many references as the order's remainder by nine."""
-    items = table(spark, sf_dir, "lineitem")
-    a, b = F.col("l_linenumber").cast("string"), (F.col("l_linenumber") + 1 + F.col("l_suppkey") % 5).cast("string")
-    shown = [F.replace(F.replace(F.lit(t), F.lit("@1"), a), F.lit("@2"), b) for t, _, _ in TEMPLATES]
-    markup = F.element_at(F.array(*shown), (F.col("l_partkey") % len(TEMPLATES)).cast("int") + 1)
-    body = items.groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", markup.alias("markup")))), lambda r: r["markup"]), "\n").alias("body"))
+    items = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), "l_orderkey")
+
+    def markup(r: Column) -> Column:
+        a, b = r["l_linenumber"].cast("string"), (r["l_linenumber"] + 1 + r["l_suppkey"] % 5).cast("string")
+        return F.replace(F.replace(F.element_at(F.array(*[F.lit(t) for t, _, _ in TEMPLATES]), (r["l_partkey"] % len(TEMPLATES)).cast("int") + 1), F.lit("@1"), a), F.lit("@2"), b)
+
+    body = items.groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))), markup), "\n").alias("body"))
     targets = F.array_join(F.transform(F.filter(F.sequence(F.lit(0), F.col("l_orderkey") % 9), lambda i: i > 0), lambda i: F.concat(F.lit('<li id="ref-'), i.cast("string"), F.lit('">An entry.</li>'))), "")
     articles = body.select("l_orderkey", F.concat("body", F.lit("\n<h2>References</h2><ol>"), targets, F.lit("</ol>")).alias("html"))
-    found = citation_audit.citation_defects(structure.blocks(articles, "html"), ["l_orderkey"])
+    found = citation_audit.document_defects(articles, ["l_orderkey"], "html")
     shown_list = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
     return found.select("l_orderkey", "id", "severity", "n", shown_list("numbers"), shown_list("missing"))
 

@@ -224,6 +224,19 @@ def test_defects_of_documents(spark):
     }
 
 
+def test_defects_of_whole_documents(spark):
+    """The same defects without a table of blocks and without a shuffle; blocks behind the first range of the body aren't judged."""
+    refs = "<h2>References</h2>" + "".join(f'<li id="ref-{i}">An entry.</li>' for i in (1, 2, 3))
+    rng = random.Random(3)
+    pieces = [f"<p>{raw}</p>" for raw, _, _ in RANGES] + ["<table><td>Author <sup>1,2</sup></td></table>", '<p class="x z2m-footnote">As shown [1, 2].</p>', '<p id="Footnote-2">n</p>', "<p>Then \\(^{1-2}\\) came.</p>", "<p>task. Sec. 2</p>", "<h2> <b>REFERENCES</b></h2>", "<p>&#91;1, 2&#93; x<sup>2</sup></p>", '<div><li id="REF-4">e</li></div>', "<p>never closed"]
+    docs = [(i, "\n".join(rng.choices(pieces, k=rng.randrange(6))) + refs * (i % 2)) for i in range(300)] + [(300, None), (301, "<p>" + "long " * 400 + "[1, 2].</p>" + refs)]
+    df = spark.createDataFrame(docs, "doc int, html string")
+    rows = lambda found: sorted((r["doc"], r["id"], r["severity"], r["n"], tuple(r["numbers"]), tuple(sorted(r["missing"]))) for r in found.collect())
+    whole = citation_audit.document_defects(df, ["doc"], "html")
+    assert rows(whole) == rows(citation_audit.citation_defects(structure.blocks(df, "html"), ["doc"]))
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+
+
 def test_anchors_in_their_blocks(spark):
     html = '<p>a <a href="#x">b</a> <a href="y">c</a></p><a href="z">d</a><div><a>e</a></div>'
     df = spark.createDataFrame([(1, html)], "id int, html string")
