@@ -11,6 +11,7 @@ repeat whole are told apart by their keys alone, which have to be unique.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import escape, unescape
 from urllib.parse import quote, unquote
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from pagewright.functions import markup, urls
 from pagewright.sources import shared
@@ -70,25 +71,30 @@ def opened(html: str) -> Iterator[tuple[int, str, str, int, str | None]]:
                 inside = name
 
 
+def fragments(html: str) -> Iterator[tuple[str, str, int, str | None, int, int, int]]:
+    """Targets of a document, and what refers to them: href, idref (one for each of its words) and css. Role, value, where the tag is, part of the document, start, stop, number of the word."""
+    for at, name, attrs, base, chunk in opened(html):
+        for m in _VALUE.finditer(attrs):
+            attribute, group = m[1].lower(), 2 if m[2] is not None else 3
+            value, span = unescape(m[group]), (base + m.start(group), base + m.end(group))
+            if attribute == "id" or attribute == "name" and name in ("a", "map"):
+                if value:
+                    yield "target", value, at, chunk, *span, 0
+            elif attribute in LOCAL and value.startswith("#"):
+                yield "href", unquote(value[1:]), at, chunk, *span, 0
+            elif attribute in IDREFS:
+                for part, word in enumerate(value.split()):
+                    yield "idref", word, at, chunk, *span, part
+        for m in _CSS.finditer(attrs):
+            yield "css", unquote(unescape(m[2])), at, chunk, base + m.start(2), base + m.end(2), 0
+
+
 @udtf(returnType="role: string, value: string, at: int, chunk: string, start: int, stop: int, part: int")
 class FragmentTokens:
-    """Targets of a document, and what refers to them: href, idref (a row for each of its words) and css."""
+    """``fragments`` as a table function."""
 
     def eval(self, html: str) -> Iterator[tuple]:
-        for at, name, attrs, base, chunk in opened(html or ""):
-            for m in _VALUE.finditer(attrs):
-                attribute, group = m[1].lower(), 2 if m[2] is not None else 3
-                value, span = unescape(m[group]), (base + m.start(group), base + m.end(group))
-                if attribute == "id" or attribute == "name" and name in ("a", "map"):
-                    if value:
-                        yield "target", value, at, chunk, *span, 0
-                elif attribute in LOCAL and value.startswith("#"):
-                    yield "href", unquote(value[1:]), at, chunk, *span, 0
-                elif attribute in IDREFS:
-                    for part, word in enumerate(value.split()):
-                        yield "idref", word, at, chunk, *span, part
-            for m in _CSS.finditer(attrs):
-                yield "css", unquote(unescape(m[2])), at, chunk, base + m.start(2), base + m.end(2), 0
+        yield from fragments(html or "")
 
 
 def _nearest(rows: DataFrame, by: list[str]) -> Column:
@@ -154,26 +160,30 @@ def unique_targets(df: DataFrame, keys: list[str], html: str) -> DataFrame:
     return joined.select(*[c for c in df.columns if c != html], _rebuilt(html, "_changes").alias(html), zero("duplicate_targets"), zero("renamed_targets"), zero("rewritten_references"))
 
 
-@F.pandas_udf(StringType())
-def _without(html: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([text if text is None or s is None else markup.rebuilt(text, {(x["start"], x["stop"]): "" for x in s}) for text, s in zip(html, spans, strict=True)])
+def without_broken_links(html: str | None) -> tuple[str | None, int]:
+    """A document without the anchors that lead to targets it doesn't have, and how many they were."""
+    found = list(fragments(html or ""))
+    targets = {value for role, value, *_ in found if role == "target"}
+    broken = Counter(at for role, value, at, *_ in found if role == "href" and value and value not in targets)
+    if not broken:
+        return html, 0
+    anchors = [a for a in markup.spans(html, ("a",)) if a[0] in broken]
+    tags = {span: "" for start, stop, body_start, body_stop, *_ in anchors for span in ((start, body_start), (body_stop, stop))}
+    return markup.rebuilt(html, tags), sum(broken[a[0]] for a in anchors)
+
+
+_UNWRAP = F.udf(without_broken_links, StructType().add("html", StringType()).add("unwrapped_links", LongType()), useArrow=False)
 
 
 def unwrap_broken_links(df: DataFrame, keys: list[str], html: str) -> DataFrame:
     """Documents without links to targets that they don't have: the links go, what they show stays. Adds ``unwrapped_links``.
 
-    Anchors meet their own document's targets in an anti join by document and name.
+    All that settles a link is in its own document, so nothing is joined or
+    shuffled. Documents come to Python a hundred at a time, whatever Arrow's
+    batches are, so that what a worker holds doesn't grow with the table.
     """
-    text = df.select(*keys, html)
-    tokens = shared.materialize(text.lateralJoin(FragmentTokens(F.col(html).outer())).drop(html), "fragments")
-    targets = tokens.where("role = 'target'").select(*keys, "value").distinct()
-    local = tokens.where("role = 'href' AND value != ''").select(*keys, "value", F.col("at").alias("start"))
-    anchors = text.lateralJoin(structure.MarkupAnchors(F.col(html).outer())).select(*keys, "start", "body_start", "body_stop", "stop")
-    broken = local.join(targets, [*keys, "value"], "left_anti").join(anchors, [*keys, "start"])
-    tags = F.array(F.struct("start", F.col("body_start").alias("stop")), F.struct(F.col("body_stop").alias("start"), "stop"))
-    found = broken.groupBy(*keys).agg(F.flatten(F.collect_list(tags)).alias("_tags"), F.count("*").alias("unwrapped_links"))
-    joined = df.join(found, keys, "left")
-    return joined.select(*[_without(html, "_tags").alias(html) if c == html else c for c in df.columns], F.coalesce("unwrapped_links", F.lit(0)).alias("unwrapped_links"))
+    done = df.withColumn("_done", _UNWRAP(html))
+    return done.select(*[F.col("_done.html").alias(html) if c == html else c for c in df.columns], "_done.unwrapped_links")
 
 
 # --- runs of anchors -------------------------------------------------------------------------------------------

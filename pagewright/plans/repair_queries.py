@@ -9,7 +9,7 @@ from pagewright.operators import images, link_repairs, table_repairs
 from pagewright.sources import path_map, shared
 from pagewright.streaming import append_log
 
-from .registry import query, table
+from .registry import dealt, query, table
 
 #: Pages whose paragraphs all have one id, to which all their links lead.
 _SAME_IDS = "regexp_replace(regexp_replace(html, '<p>', '<p id=\"p\">', 'g'), '<a href=\"[^\"]*\">', '<a href=\"#p\">', 'g')"
@@ -67,7 +67,7 @@ _LOCAL = "regexp_replace(replace(html, '<h1>', '<h1 id=\"to\">'), '<a href=\"/',
 def unwrapped_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose links are local, and of whose targets one alone is there."""
     local = F.replace(F.replace("html", F.lit("<h1>"), F.lit('<h1 id="to">')), F.lit('<a href="/'), F.lit('<a href="#'))
-    found = link_repairs.unwrap_broken_links(table(spark, sf_dir, "pages").select("page_id", local.alias("html")), ["page_id"], "html")
+    found = link_repairs.unwrap_broken_links(dealt(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id").withColumn("html", local), ["page_id"], "html")
     return found.select("page_id", "unwrapped_links", F.md5(F.encode("html", "UTF-8")).alias("html_md5"))
 
 

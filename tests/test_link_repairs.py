@@ -153,3 +153,12 @@ def test_broken_links_are_unwrapped(spark):
     assert rows["some"] == (docs["some"].replace('<a class="x" href="#none">o<b>u</b>t</a>', "o<b>u</b>t"), 1)
     assert rows["hidden"] == ('<!-- <i id="z"> -->z<!-- <a href="#q">q</a> -->', 1)
     assert rows["null"] == (None, 0) and rows["empty"] == ("", 0)
+
+
+def test_broken_links_without_joins(spark):
+    """Documents are settled each by itself: no shuffle, and Arrow's batches, which may hold thousands of whole documents, aren't used."""
+    rows = [(f"d{i}", f'<p id="a">1</p><a href="#a">in</a><a href="#b{i}" xlink:href="#c">out</a><svg><use href="#none"/></svg>') for i in range(3)]
+    out = link_repairs.unwrap_broken_links(spark.createDataFrame(rows, "doc string, html string"), ["doc"], "html")
+    assert {(r["doc"], r["html"], r["unwrapped_links"]) for r in out.collect()} == {(d, '<p id="a">1</p><a href="#a">in</a>out<svg><use href="#none"/></svg>', 2) for d, _ in rows}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "Arrow" not in plan and "Join" not in plan and "Exchange" not in plan
