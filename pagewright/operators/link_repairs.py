@@ -14,9 +14,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html import escape, unescape
+from typing import NamedTuple
 from urllib.parse import quote, unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
@@ -25,8 +25,6 @@ from pyspark.sql.types import LongType, StringType, StructType
 from pagewright.functions import markup, urls
 from pagewright.sources import shared
 
-from . import structure
-
 #: Attributes that name targets by their ids, and what stays as it is in a link's fragment.
 IDREFS = frozenset("for headers list form itemref aria-activedescendant aria-controls aria-describedby aria-details aria-errormessage aria-flowto aria-labelledby aria-owns".split())
 LOCAL = frozenset(("href", "xlink:href", "usemap"))
@@ -107,12 +105,16 @@ def _nearest(rows: DataFrame, by: list[str]) -> Column:
     return F.when(right.isNotNull() & nearer, right["assigned"]).otherwise(left["assigned"])
 
 
-@F.pandas_udf(StringType())
-def _rebuilt(html: pd.Series, changes: pd.Series) -> pd.Series:
+def with_values(html: str | None, changes: list | None) -> str | None:
+    """A document with its changed attributes' values."""
+
     def value(role: str, names: list[str]) -> str:
         return escape({"target": " ".join(names), "idref": " ".join(names), "href": "#" + quote(names[0], safe=SAFE), "css": quote(names[0], safe=SAFE)}[role], quote=True)
 
-    return pd.Series([text if text is None or c is None else markup.rebuilt(text, {(x["start"], x["stop"]): value(x["role"], list(x["names"])) for x in c}) for text, c in zip(html, changes, strict=True)])
+    return html if html is None or changes is None else markup.rebuilt(html, {(x["start"], x["stop"]): value(x["role"], x["names"]) for x in changes})
+
+
+_REBUILT = F.udf(with_values, StringType(), useArrow=False)
 
 
 def unique_targets(df: DataFrame, keys: list[str], html: str) -> DataFrame:
@@ -157,7 +159,7 @@ def unique_targets(df: DataFrame, keys: list[str], html: str) -> DataFrame:
     )
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     joined = df.join(ledger, keys, "left")
-    return joined.select(*[c for c in df.columns if c != html], _rebuilt(html, "_changes").alias(html), zero("duplicate_targets"), zero("renamed_targets"), zero("rewritten_references"))
+    return joined.select(*[c for c in df.columns if c != html], _REBUILT(html, "_changes").alias(html), zero("duplicate_targets"), zero("renamed_targets"), zero("rewritten_references"))
 
 
 def without_broken_links(html: str | None) -> tuple[str | None, int]:
@@ -190,76 +192,119 @@ def unwrap_broken_links(df: DataFrame, keys: list[str], html: str) -> DataFrame:
 
 #: The host of reference anchors, how much text may stand in and between them, and two words that their splits break.
 HUB, BODY, MIDDLE, WEB_BODY, MAIL_BODY = "refhub.", 1200, 320, 260, 160
+_HREF = re.compile(r"""(?i)(?<![\w:-])href\s*=\s*(?:"[^"]*"|'[^']*')""", re.ASCII)
 BROKEN_WORDS = ((r"\baccu\s+racy\b", "accuracy"), (r"\bfl\s+uoroscopic\b", "fluoroscopic"))
 
 
-def _hub(html: str, parts: list) -> str:
+class Anchor(NamedTuple):
+    start: int
+    body_start: int
+    body_stop: int
+    stop: int
+
+
+def _hub(html: str, parts: list[Anchor]) -> str:
     first, last = parts[0], parts[-1]
-    body = markup.rebuilt(html[first["body_start"] : last["body_stop"]], {(a["body_stop"] - first["body_start"], b["start"] - first["body_start"]): html[a["stop"] : b["start"]] for a, b in zip(parts, parts[1:])})
+    body = markup.rebuilt(html[first.body_start : last.body_stop], {(a.body_stop - first.body_start, b.start - first.body_start): html[a.stop : b.start] for a, b in zip(parts, parts[1:])})
     for a in parts[1:]:
-        body = body.replace(html[a["start"] : a["body_start"]], "", 1)
+        body = body.replace(html[a.start : a.body_start], "", 1)
     for wrong, right in BROKEN_WORDS:
         body = re.sub(wrong, right, body, flags=re.IGNORECASE)
-    return f"{html[first['start'] : first['body_start']]}{body}</a>"
+    return f"{html[first.start : first.body_start]}{body}</a>"
 
 
-def _run_value(html: str, kind: str, parts: list) -> str | None:
+def _run_value(html: str, kind: str, parts: list[Anchor]) -> str | None:
     if kind == "hub":
         return _hub(html, parts)
-    shown = [html[a["start"] : a["stop"]] for a in parts]
-    gaps = [html[a["stop"] : b["start"]] for a, b in zip(parts, parts[1:])]
+    shown = [html[a.start : a.stop] for a in parts]
+    gaps = [html[a.stop : b.start] for a, b in zip(parts, parts[1:])]
     return urls.merged_run(shown, gaps) if kind == "web" else urls.merged_mail(shown)
 
 
-@F.pandas_udf(StringType())
-def _merged(html: pd.Series, runs: pd.Series) -> pd.Series:
-    def one(text: str, found) -> str:
-        changes = {(r["parts"][0]["start"], r["parts"][-1]["stop"]): _run_value(text, r["kind"], list(r["parts"])) for r in found}
-        return markup.rebuilt(text, {span: value for span, value in changes.items() if value is not None})
+def _target(tag: str) -> str:
+    literal = _HREF.search(tag)
+    return re.sub(r"""^[\s"']+|[\s"']+\Z""", "", re.sub(r"(?i)^href\s*=\s*", "", literal[0], flags=re.ASCII), flags=re.ASCII) if literal else ""
+
+
+def _tight(target: str) -> str:
+    return re.sub(r"\s+", "", target, flags=re.ASCII).replace("&amp;", "&")
+
+
+def _link_kind(targets: tuple[str, str], lengths: tuple[int, int], middle: str) -> str | None:
+    """What makes one anchor and the next parts of one, from their targets, the lengths of their contents and the text between them."""
+    (a, b), longest = targets, max(lengths)
+    if a == b and HUB in b.lower() and longest <= BODY and len(middle) <= MIDDLE and re.search("[A-Za-z]", middle) and "<" not in middle:
+        return "hub"
+    if not re.fullmatch(r"\s+", middle, re.ASCII):
+        return None
+    if longest <= WEB_BODY and b.lower().startswith(("http://", "https://")) and _tight(a) == _tight(b):
+        return "web"
+    return "mail" if longest <= MAIL_BODY and b.lower().startswith("mailto:") and a.lower() == b.lower() else None
+
+
+def runs_of_anchors(html: str, kinds: tuple[str, ...]) -> list[tuple[str, list[Anchor]]]:
+    """Runs of neighbouring anchors of one document, each of one kind. Only two anchors are looked at together."""
+    runs: list[tuple[str | None, list[Anchor]]] = []
+    last = last_target = last_kind = None
+    for start, stop, body_start, body_stop, *_ in markup.spans(html, ("a",)):
+        anchor, target = Anchor(start, body_start, body_stop, stop), _target(html[start:body_start])
+        kind = last and _link_kind((last_target, target), (last.body_stop - last.body_start, body_stop - body_start), html[last.stop : start])
+        kind = kind if kind in kinds else None
+        # the link to the anchor before makes a run; a run is of one kind
+        if kind is None or last_kind not in (None, kind):
+            runs.append((kind, [anchor]))
+        else:
+            runs[-1] = (kind, runs[-1][1])
+            runs[-1][1].append(anchor)
+        last, last_target, last_kind = anchor, target, kind
+    return [(kind, parts) for kind, parts in runs if kind and len(parts) > 1]
+
+
+@udtf(returnType="kind: string, parts: array<struct<start: int, body_start: int, body_stop: int, stop: int>>")
+class AnchorRuns:
+    """``runs_of_anchors`` as a table function; kinds are joined by spaces."""
 
-    return pd.Series([text if text is None or r is None else one(text, r) for text, r in zip(html, runs, strict=True)])
+    def eval(self, html: str, kinds: str) -> Iterator[tuple]:
+        yield from runs_of_anchors(html or "", tuple(kinds.split()))
 
 
 def anchor_runs(df: DataFrame, keys: list[str], html: str, kinds: tuple[str, ...] = ("web", "mail", "hub")) -> DataFrame:
     """Runs of neighbouring anchors with one target: keys, kind (hub, web, mail), and the anchors' offsets in order.
 
     Anchors of a reference hub may have a little text with letters between
-    them; other anchors only white space. Gaps and islands over the anchors.
+    them; other anchors only white space.
     """
-    a = df.select(*keys, html).lateralJoin(structure.MarkupAnchors(F.col(html).outer()))
-    order = Window.partitionBy(*keys).orderBy("start")
-    literal = F.regexp_extract(F.substring(F.col(html), F.col("start") + 1, F.col("body_start") - F.col("start")), r"""(?i)(?<![\w:-])href\s*=\s*(?:"([^"]*)"|'([^']*)')""", 0)
-    target = F.regexp_replace(F.regexp_replace(literal, r"(?i)^href\s*=\s*", ""), r"""^[\s"']+|[\s"']+$""", "")
-    a = a.withColumns({"target": target, "length": F.col("body_stop") - F.col("body_start")})
-    before = F.lag("stop").over(order)
-    middle = F.substring(F.col(html), before + 1, F.col("start") - before)
-    a = a.withColumns({"middle": middle, "last_target": F.lag("target").over(order), "last_length": F.lag("length").over(order)})
-    fits = lambda n: (F.col("length") <= n) & (F.col("last_length") <= n)
-    blank = F.col("middle").rlike(r"^\s+$")
-    tight = lambda c: F.replace(F.regexp_replace(c, r"\s+", ""), F.lit("&amp;"), F.lit("&"))
-    same = F.col("target") == F.col("last_target")
-    text_between = (F.char_length("middle") <= MIDDLE) & F.col("middle").rlike("[A-Za-z]") & ~F.col("middle").contains("<")
-    kind = F.when(same & F.lower("target").contains(HUB) & text_between & fits(BODY), "hub")
-    kind = kind.when((tight(F.col("target")) == tight(F.col("last_target"))) & F.lower("target").rlike("^https?://") & blank & fits(WEB_BODY), "web")
-    kind = kind.when((F.lower("target") == F.lower("last_target")) & F.lower("target").startswith("mailto:") & blank & fits(MAIL_BODY), "mail")
-    a = a.withColumn("kind", F.when(kind.isin(*kinds), kind))
-    # the link to the anchor before makes a run; a run is of one kind
-    a = a.withColumn("_new", F.when(F.col("kind").isNull() | (F.lag("kind").over(order) != F.col("kind")), 1).otherwise(0))
-    a = a.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    part = F.struct("start", "body_start", "body_stop", "stop")
-    runs = a.groupBy(*keys, "_run").agg(F.max("kind").alias("kind"), F.sort_array(F.collect_list(part)).alias("parts"))
-    return runs.where((F.size("parts") > 1) & F.col("kind").isNotNull()).select(*keys, "kind", "parts")
+    return df.select(*keys, html).lateralJoin(AnchorRuns(F.col(html).outer(), F.lit(" ".join(kinds)))).drop(html)
 
 
-def merge_anchor_runs(df: DataFrame, keys: list[str], html: str) -> DataFrame:
-    """Documents whose split anchors are one again: those of a web or mail address, then those of a reference hub."""
+def merged_runs(html: str | None) -> str | None:
+    """A document whose split anchors are one again."""
     for kinds in (("web", "mail"), ("hub",)):
-        runs = anchor_runs(df, keys, html, kinds).groupBy(*keys).agg(F.collect_list(F.struct("kind", "parts")).alias("_runs"))
-        df = df.join(runs, keys, "left").select(*[_merged(html, "_runs").alias(html) if c == html else c for c in df.columns])
-    return df
+        values = {(parts[0].start, parts[-1].stop): _run_value(html, kind, parts) for kind, parts in runs_of_anchors(html or "", kinds)}
+        if values:
+            html = markup.rebuilt(html, {span: value for span, value in values.items() if value is not None})
+    return html
+
+
+_MERGE = F.udf(merged_runs, StringType(), useArrow=False)
+
+
+def merge_anchor_runs(df: DataFrame, keys: list[str], html: str) -> DataFrame:
+    """Documents whose split anchors are one again: those of a web or mail address, then those of a reference hub.
+
+    A document is settled by itself, as in ``unwrap_broken_links``: its text
+    isn't repeated for each anchor, joined or shuffled.
+    """
+    return df.withColumn(html, _MERGE(html))
+
+
+def linked(html: str | None) -> str | None:
+    return html if html is None else urls.linked(html)
+
+
+_LINKED = F.udf(linked, StringType(), useArrow=False)
 
 
-@F.pandas_udf(StringType())
-def autolinked(html: pd.Series) -> pd.Series:
+def autolinked(html: Column | str) -> Column:
     """Documents with links on the URLs and DOIs of their running text. Texts of any length; linking again changes nothing."""
-    return html.map(urls.linked, na_action="ignore")
+    return _LINKED(html)

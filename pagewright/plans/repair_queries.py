@@ -46,7 +46,7 @@ def merged_page_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     hub = lambda k: F.concat(F.lit('<a class="c" href="https://refhub.example.org/'), n(k), F.lit('">'))
     web = lambda label: F.concat(F.lit('<a href="'), u, F.lit('">'), label, F.lit("</a>"))
     split = F.concat(F.lit("<p>See "), hub(i % 7), F.lit("Smith</a> and "), hub((i + i % 3) % 7), F.lit("others</a>, "), web(F.substring(u, 1, 14)), F.lit(" "), web(F.substring(u, 15, 1000)), F.lit(".</p>"), F.col("html"))
-    found = link_repairs.merge_anchor_runs(table(spark, sf_dir, "pages").select("page_id", split.alias("html")), ["page_id"], "html")
+    found = link_repairs.merge_anchor_runs(dealt(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id").withColumn("html", split), ["page_id"], "html")
     return found.select("page_id", F.md5(F.encode("html", "UTF-8")).alias("html_md5"))
 
 

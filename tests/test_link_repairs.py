@@ -162,3 +162,15 @@ def test_broken_links_without_joins(spark):
     assert {(r["doc"], r["html"], r["unwrapped_links"]) for r in out.collect()} == {(d, '<p id="a">1</p><a href="#a">in</a>out<svg><use href="#none"/></svg>', 2) for d, _ in rows}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" in plan and "Arrow" not in plan and "Join" not in plan and "Exchange" not in plan
+
+
+def test_runs_without_repeated_texts(spark):
+    """Runs of each kind side by side, found without joins, windows or Arrow's batches of whole documents."""
+    hub, web = [HUB.format("a"), HUB.format("b")], [WEB.format("https://x.org/da"), WEB.format("ta/file")]
+    html = "".join([hub[0], " or ", hub[1], " ", web[0], " ", web[1], "\n", MAIL.format("ann@x.org", "ann@"), " ", MAIL.format("Ann@x.org", "x.org")])
+    df = spark.createDataFrame([(1, html), (2, None), (3, "<a>a</a> <a>b</a>")], "doc int, html string")
+    runs = link_repairs.anchor_runs(df, ["doc"], "html")
+    assert [(r["doc"], r["kind"], ["".join(html[p["start"] : p["body_start"]] for p in r["parts"][:1]), len(r["parts"])]) for r in runs.collect()] == [(1, "hub", [HUB[:-6], 2]), (1, "web", [WEB[:-6], 2]), (1, "mail", ['<a class="m" href="mailto:ann@x.org">', 2])]
+    assert [r["kind"] for r in link_repairs.anchor_runs(df, ["doc"], "html", ("web",)).collect()] == ["web"]
+    plan = link_repairs.merge_anchor_runs(df, ["doc"], "html")._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and not any(x in plan for x in ("Arrow", "Join", "Window", "Exchange"))
