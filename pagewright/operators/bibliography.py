@@ -199,7 +199,8 @@ def column_starts(starts: DataFrame, page: list[str]) -> DataFrame:
     first start of a column is its seed and the column takes what lies within
     ``COLUMN_WIDTH`` of the seed, so a column's place depends on the order. The
     seeds come from a page's distinct places alone; starts are windows from
-    there on. Of a column the longest run of steps of one or two stays if it
+    there on, all of them over one order. Starts that are dealt by page already
+    are dealt no more, so their partitions bound what a task sorts. Of a column the longest run of steps of one or two stays if it
     has ``COLUMN_STARTS`` starts, the first of equal ones; the whole column
     stays for a number of ``HIGH_NUMBER`` or more.
     """
@@ -212,10 +213,11 @@ def column_starts(starts: DataFrame, page: list[str]) -> DataFrame:
     down = Window.partitionBy(*column).orderBy("y", "number", "x")
     step = F.col("number") - F.lag("number").over(down)
     found = found.withColumn("_new", F.when(step.isin(1, 2), 0).otherwise(1))
-    found = found.withColumn("_run", F.sum("_new").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    found = found.withColumn("_size", F.count("*").over(Window.partitionBy(*column, "_run")))
+    found = found.withColumn("_at", F.row_number().over(down))
+    # a run is called after the place of its first start
+    found = found.withColumn("_run", F.max(F.when(F.col("_new") == 1, F.col("_at"))).over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     whole = Window.partitionBy(*column)
-    found = found.withColumns({"_best": F.max(F.struct("_size", (-F.col("_run")).alias("_first"))).over(whole), "_high": F.max("number").over(whole)})
+    found = found.withColumns({"_best": F.max(F.struct((F.col("_at") - F.col("_run") + 1).alias("_size"), (-F.col("_run")).alias("_first"))).over(whole), "_high": F.max("number").over(whole)})
     longest = F.col("_best._size") >= COLUMN_STARTS
     found = found.where((longest & (F.col("_run") == -F.col("_best._first"))) | (~longest & (F.col("_high") >= HIGH_NUMBER)))
     return found.select(*page, "column", "number", "x", "y")

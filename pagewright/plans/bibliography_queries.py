@@ -50,7 +50,7 @@ def reference_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers that follow each other down a column, from the places of line items."""
     items = table(spark, sf_dir, "lineitem")
     starts = items.select(F.col("l_suppkey").alias("page"), F.floor(F.col("l_extendedprice") / 1000).alias("number"), ((F.col("l_partkey") % 40) * 7.0).alias("x"), F.col("l_extendedprice").alias("y"))
-    return bibliography.column_starts(starts, ["page"])
+    return bibliography.column_starts(dealt(starts, "page"), ["page"])
 
 
 @query("""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import citation_ranges, markup
 from pagewright.operators import bibliography, citation_audit, structure
+from pagewright.plans import registry
 
 HTML = """<div class="a b" id=x>one
 <p TITLE='q &amp; r'>two</p>
@@ -130,6 +131,34 @@ def test_columns_by_hand(spark):
     assert sorted(r["number"] for r in got) == [1, 2, 3, 5]
 
 
+def test_columns_are_sorted_once(spark, monkeypatch):
+    """Runs that begin, end and tie, against a plain reading; starts dealt by page stay where they are, and are sorted once for the join and once for all windows."""
+    rng = random.Random(11)
+    starts = [(rng.randrange(3), rng.randrange(12), rng.choice([0.0, 10.0, 40.0]), rng.randrange(90) * 1.0) for _ in range(150)] + [(3, n, 5.0, 1.0 * n) for n in (1, 2, 3, 4, 9, 10, 11, 12, 30)]
+
+    def expected():
+        for page in range(4):
+            for column, xs in ((1, (0.0, 5.0, 10.0)), (2, (40.0,))):
+                order = sorted((y, n, x) for p, n, x, y in starts if p == page and x in xs)
+                runs = []
+                for y, n, x in order:
+                    if runs and n - runs[-1][-1][0] in (1, 2):
+                        runs[-1].append((n, x, y))
+                    else:
+                        runs.append([(n, x, y)])
+                longest = max(runs, key=len, default=[])
+                yield from [(page, column, *r) for r in (longest if len(longest) >= 4 else [])]
+
+    monkeypatch.setattr(registry, "SHARE", 10)
+    made = registry.dealt(spark.createDataFrame(starts, "page int, number int, x double, y double"), "page")
+    assert made.rdd.getNumPartitions() == len(starts) // 10 + 1
+    found = bibliography.column_starts(made, ["page"])
+    assert sorted(map(tuple, found.collect())) == sorted(expected())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ENSURE_REQUIREMENTS" not in plan
+    assert len(re.findall(r"Sort \[[^\]]*column", plan.split("Initial Plan")[-1])) == 1
+
+
 def test_targets_by_hand(spark):
     starts = spark.createDataFrame([(1, 5, 100.0, 200.0), (1, 6, 100.0, 230.0), (1, 7, 300.0, 200.0), (2, 1, 0.0, 0.0), (2, 2, 10.0, -30.0)], "page int, number int, x double, y double")
     links = [("near", 1, 90.0, 205.0), ("above", 1, 100.0, 217.0), ("far", 1, 100.0, 500.0), ("aside", 1, 500.0, 200.0), ("unplaced", 1, 0.0, 201.0), ("no height", 1, 310.0, 0.0), ("no page", 9, 1.0, 1.0), ("nothing", 2, 0.0, 0.0), ("null", 2, None, None)]
