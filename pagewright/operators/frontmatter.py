@@ -9,12 +9,16 @@ document once, for its first block.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
-from .structure import has_class
+from pagewright.functions import markup
+
+from .structure import BLOCK, has_class
 
 # How far rules look, the classes of front matter, and the patterns of damage and of what explains it.
 RAW_FIRST, AFFILIATIONS_FIRST, AUTHORS_FIRST, SENTENCE_FIRST, GAP_LAST, REPAIRED_FIRST, LATE, LATE_LENGTH = 20, 25, 18, 40, 45, 40, 40, 80
@@ -131,13 +135,43 @@ def _named(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(NAME), F.lit(0)), lambda x: F.lower(F.regexp_replace(x, r"\s+", " "))))
 
 
-def _suspects(raw: DataFrame, keys: list[str]) -> DataFrame:
+def ruled_blocks(html: str) -> Iterator[tuple]:
+    """The blocks of a document that some rule looks at: its first ones, and those marked as front matter."""
+    starts = None
+    marked = FRONT in html or "&" in html
+    for n, (start, stop, _, _, tag, text) in enumerate(markup.spans(html)):
+        if n > GAP_LAST and not marked:
+            return
+        # an entity may hide a class
+        if n > GAP_LAST and FRONT not in text and "&" not in text:
+            continue
+        attrs = markup.attributes(text)
+        if n <= GAP_LAST or FRONT in markup.classes(attrs):
+            starts = starts or markup.line_starts(html)
+            raw = html[start:stop]
+            yield n, start, stop, markup.line_of(starts, start), tag, attrs, raw, markup.visible(raw)
+
+
+@udtf(returnType=BLOCK)
+class FrontBlocks:
+    """``ruled_blocks`` as a table function."""
+
+    def eval(self, html: str) -> Iterator[tuple]:
+        yield from ruled_blocks(html or "")
+
+
+def blocks(df: DataFrame, html: str) -> DataFrame:
+    """The columns of ``df`` beside each block that a rule looks at: all that ``frontmatter_defects`` needs of a stage, a fixed number of rows and the marked ones, however long documents are."""
+    return df.lateralJoin(FrontBlocks(F.col(html).outer()))
+
+
+def _suspects() -> Column:
     """Per document the early raw blocks whose markers were damaged and that nothing explains: place and names."""
     text = F.col("text")
     plain = ~F.lower(text).startswith("to cite this article:") & ~is_cyrillic(text) & text.rlike(DAMAGED)
     explained = is_copyright(text) | is_notice(text) | is_author_index(text) | _any_of(text, TABLES) | is_contents(text)
-    found = raw.where((F.col("n") < RAW_FIRST) & plain & ~explained)
-    return found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("n", _named(text).alias("names")))).alias("_suspects"))
+    found = (F.col("n") < RAW_FIRST) & plain & ~explained
+    return F.sort_array(F.collect_list(F.when(found, F.struct("n", _named(text).alias("names"))))).alias("_suspects")
 
 
 def _is_right(suspect: Column, early: Column) -> Column:
@@ -177,8 +211,9 @@ def frontmatter_defects(raw: DataFrame, polish: DataFrame, keys: list[str]) -> D
     links on an author line. P25: a late block of the body marked as front
     matter. P100: metadata within a sentence, reported at its first block.
 
-    Each stage's blocks are read once: a partial aggregate holds a document's
-    first blocks, a fixed number of them, and the first block of each rule.
+    Each stage's blocks are read once, and once for both if they are the same
+    table: a partial aggregate holds a document's first blocks, a fixed number
+    of them, and the first block of each rule.
     """
     text, attrs = F.col("text"), F.col("attrs")
     front, staff = has_class(attrs, FRONT), has_class(attrs, AFFILIATIONS)
@@ -191,13 +226,15 @@ def frontmatter_defects(raw: DataFrame, polish: DataFrame, keys: list[str]) -> D
     true = lambda c: F.coalesce(c, F.lit(False))
     block = F.struct("n", "tag", "text", F.lower("text").alias("lower"), true(front | is_notice(text) | is_copyright(text)).alias("meta"), true((front | staff) & F.lower("raw").contains("<sup")).alias("marked"), text.rlike(DAMAGED).alias("damaged"))
     first = lambda c, name: F.min(F.when(c, F.col("n"))).alias(name)
+    same = raw is polish
     pages = polish.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.when(F.col("n") <= GAP_LAST, block))).alias("_early"),
         first((F.col("n") < AFFILIATIONS_FIRST) & staff & F.col("raw").rlike(REF_LINK), "P02"),
         first((F.col("n") < AUTHORS_FIRST) & authors, "P03"),
         first((F.col("n") >= LATE) & late, "P25"),
+        *([_suspects()] if same else []),
     )
-    both = pages.join(_suspects(raw, keys), keys, "full")
+    both = pages if same else pages.join(raw.where(F.col("n") < RAW_FIRST).groupBy(*keys).agg(_suspects()), keys, "full")
     early = F.coalesce("_early", F.array().cast(pages.schema["_early"].dataType))
     wrong = F.filter("_suspects", lambda s: ~_is_right(s, early))
     found = {"P01": F.get(wrong, F.lit(0))["n"], "P02": F.col("P02"), "P03": F.col("P03"), "P25": F.col("P25"), "P100": _interruption(early)}

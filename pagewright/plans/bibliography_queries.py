@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.operators import bibliography, citation_audit, frontmatter, structure
+from pagewright.operators import bibliography, citation_audit, frontmatter
 
 from .registry import dealt, query, table
 
@@ -133,11 +133,13 @@ FRONT: list[tuple[str, str]] = [
     SELECT l_suppkey, id, CASE id WHEN 'P01' THEN 'warning' ELSE 'error' END AS severity, min(n)::INT AS n FROM b WHERE (id = 'P01' AND n < 20) OR (id = 'P02' AND n < 25) OR (id = 'P03' AND n < 18) GROUP BY l_suppkey, id""")
 def frontmatter_defect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Front matter of one long article per supplier, a block for each line item; both stages are the same."""
-    items = table(spark, sf_dir, "lineitem")
-    a, b = F.col("l_linenumber").cast("string"), (F.col("l_linenumber") + 1).cast("string")
-    shown = [F.replace(F.replace(F.lit(t), F.lit("@1"), a), F.lit("@2"), b) for t, _ in FRONT]
-    markup = F.element_at(F.array(*shown), (F.col("l_partkey") % len(FRONT)).cast("int") + 1)
-    blocks = F.transform(F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", markup.alias("markup")))), lambda r: r["markup"])
+    items = dealt(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey"), "l_suppkey")
+
+    def markup(r: Column) -> Column:
+        a, b = r["l_linenumber"].cast("string"), (r["l_linenumber"] + 1).cast("string")
+        return F.replace(F.replace(F.element_at(F.array(*[F.lit(t) for t, _ in FRONT]), (r["l_partkey"] % len(FRONT)).cast("int") + 1), F.lit("@1"), a), F.lit("@2"), b)
+
+    blocks = F.transform(F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey"))), markup)
     articles = items.groupBy("l_suppkey").agg(F.array_join(blocks, "\n").alias("html"))
-    found = structure.blocks(articles, "html")
+    found = frontmatter.blocks(articles, "html")
     return frontmatter.frontmatter_defects(found, found, ["l_suppkey"])

@@ -98,3 +98,28 @@ def test_interrupted_sentences_and_late_marks(spark):
 )
 def test_notices(spark, text, is_one):
     assert spark.range(1).select(frontmatter.is_notice(F.lit(text))).first()[0] is is_one
+
+
+def test_one_table_for_both_stages(spark):
+    """Long documents give the rules a fixed number of blocks and the marked ones, and a table that is both stages is made once; the defects stay."""
+    authors = f"Ann Lee{LINK.format(1)} Bob Ray{LINK.format(2)}"
+    late = [f'<p class="x z2m-front-matter">{LONG}</p>', f'<p class="z2m&#45;front&#45;matter">{LONG}</p>', '<p class="z2m-front-matters">x</p>']
+    docs = {
+        "long": ["Ann Lee 1 2", authors, "It goes", *META, "on", *["x."] * 200, late[0]],
+        "hidden": ["x"] * 60 + [late[1]],
+        "alike": ["x"] * 60 + [late[2]],
+        "edge": ["x."] * 39 + ["It goes", *META, *META, META[0], "on"],
+        "plain": ["x"] * 300,
+        "empty": [],
+    }
+    df = spark.createDataFrame([(d, "\n".join(b if b.startswith("<") else f"<p>{b}</p>" for b in bs)) for d, bs in docs.items()] + [("null", None)], "doc string, html string")
+    few = frontmatter.blocks(df, "html")
+    assert {r["doc"]: r["count"] for r in few.groupBy("doc").count().collect()} == {"long": 47, "hidden": 47, "alike": 46, "edge": 46, "plain": 46}
+    every = {(r["doc"], r["n"]): r for r in structure.blocks(df, "html").collect()}
+    assert all(every[r["doc"], r["n"]] == r for r in few.collect())
+    out = frontmatter.frontmatter_defects(few, few, ["doc"])
+    rows = lambda d: sorted((r["doc"], r["id"], r["n"]) for r in d.collect())
+    assert rows(out) == rows(frontmatter.frontmatter_defects(structure.blocks(df, "html"), structure.blocks(df, "html"), ["doc"]))
+    assert ("hidden", "P25", 60) in rows(out) and ("long", "P01", 0) in rows(out)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("BatchEvalPythonUDTF") == 1 and "Join" not in plan
